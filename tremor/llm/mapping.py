@@ -95,6 +95,8 @@ def longest_mentions(automaton: ahocorasick.Automaton, text: str) -> list[tuple[
 
     Patterns begin and end with a blank; neighbours may share it.
     """
+    if automaton.kind != ahocorasick.AHOCORASICK:  # no pattern at all
+        return []
     found = [(end - len(word) + 1, end, value) for end, (word, value) in automaton.iter(text)]
     taken: list[tuple[int, int, object]] = []
     for start, end, value in sorted(found, key=lambda x: (x[0] - x[1], x[0])):
