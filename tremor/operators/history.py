@@ -128,7 +128,8 @@ def attribute_history(
     an empty history.
     """
     held = holding_statements(df.where(F.col(date).isNotNull()), keys, date, attributes, precedence)
-    return combine_logs(change_log(held, keys, date, attributes), keys, attributes)
+    versions = combine_logs(change_log(held, keys, date, attributes), keys, attributes)
+    return versions.select(*keys, *[F.col(a).cast(df.schema[a].dataType).alias(a) for a in attributes], "valid_from", "valid_to")
 
 
 def machine_history(observations: DataFrame) -> DataFrame:

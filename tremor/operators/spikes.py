@@ -113,9 +113,25 @@ def repeat_runs(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.n
     return np.repeat(length, length), first
 
 
-def run_bound(n: np.ndarray, repeats: np.ndarray, runs: np.ndarray) -> np.ndarray:
-    """Length from which a run isn't chance, given the share of runs that repeat at all."""
-    p = np.clip(repeats / np.maximum(runs, 1), 1e-9, 0.95)
+def own_chance(values: np.ndarray, group: np.ndarray, length: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Share of repeats in the other runs of each run's own value, 0 with fewer than two others.
+
+    On a coarse scale one value can be most of a series; its long runs are chance.
+    """
+    at = np.flatnonzero(first)
+    _, value = np.unique(values[at], return_inverse=True)
+    _, key = np.unique(group[at].astype(np.int64) * (value.max(initial=0) + 1) + value, return_inverse=True)
+    size = length[at]
+    runs = np.bincount(key)[key]
+    rest = np.bincount(key, weights=size)[key] - size
+    with np.errstate(divide="ignore", invalid="ignore"):
+        p = np.where(runs > 2, (rest - (runs - 1)) / rest, 0.0)
+    return np.repeat(p, size)
+
+
+def run_bound(n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Length from which a run isn't chance, given the share of repeats."""
+    p = np.clip(p, 1e-9, 0.95)
     with np.errstate(divide="ignore"):
         chance = 1 + np.log(CHANCE / np.maximum(n, 1)) / np.log(p)
     return np.maximum(MIN_RUN, np.ceil(chance))
@@ -180,13 +196,14 @@ def _examine(table: pa.Table) -> Iterator[pd.DataFrame]:
         c, w = core[at], whole[at]
         with np.errstate(invalid="ignore"):
             spike = off > half * (1 + 2 * FENCE)
-            stuck = run >= run_bound(n, repeats, runs)[g]
-            maybe = (off > half) | (run >= MIN_RUN)
+            lone = run >= run_bound(n[g], own_chance(v, g, run, first))
+            stuck = lone & (run >= run_bound(n, repeats / np.maximum(runs, 1))[g])
+            maybe = (off > half) | lone
         for kind, rows in ((0, np.flatnonzero(w & (spike | stuck))), (1, np.flatnonzero(~w & c & maybe))):
             if len(rows):
                 yield pd.DataFrame({
                     "point": point[at][rows], "ts": ts[at][rows], "vhash": vhash[at][rows], "kind": kind, "channel": channel,
-                    "context": hours[at][rows], "off": off[rows], "run": run[rows], "local": half[rows],
+                    "context": hours[at][rows], "off": off[rows], "run": np.where(lone, run, 0)[rows], "local": half[rows],
                 })
         parts = ~w & c
         if parts.any():
