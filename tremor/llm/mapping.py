@@ -303,11 +303,9 @@ def reference_entries(reference: DataFrame) -> dict[str, list[tuple[int, str]]]:
 
 def typed_values(points: DataFrame) -> DataFrame:
     """(record_num, slot, typed): slot 0 the name, slot k the k-th designation; null and blank ones are left out."""
-    name = points.select("record_num", F.lit(0).alias("slot"), F.col("long_name").alias("typed"))
-    slots = points.select("record_num", F.posexplode("bearing_designations").alias("p", "typed")).select(
-        "record_num", (F.col("p") + 1).alias("slot"), "typed"
-    )
-    return name.unionByName(slots).where(F.col("typed").isNotNull() & F.col("typed").rlike(r"\S"))
+    # one scan: the name goes before the designations, so that places are slots
+    every = F.concat(F.array("long_name"), F.coalesce("bearing_designations", F.array().cast("array<string>")))
+    return points.select("record_num", F.posexplode(every).alias("slot", "typed")).where(F.col("typed").isNotNull() & F.col("typed").rlike(r"\S"))
 
 
 def map_points(points: DataFrame, reference: DataFrame) -> DataFrame:
