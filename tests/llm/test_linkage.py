@@ -62,3 +62,29 @@ def test_words():
 @pytest.mark.parametrize(("name", "letter"), [("x nº b (29)", "B"), ("Prensa (A)", "A"), ("bomba-B (89)", "B"), ("AGUA a [pl. baja]", "A"), ("molino c *", "C"), ("Bomba", None), ("SCREEN N/D", None), ("x Nº A  (Ver Nota)", "A"), (None, None)])
 def test_sister_letter(name, letter):
     assert sister_letter(name) == letter
+
+
+def test_held_out_accuracy(spark):
+    """Machines retyped with other words, abbreviations and slips are found again."""
+    import random
+
+    rng = random.Random(5)
+    kinds = {"VN": "VENTILADOR", "ML": "MOLINO", "SC": "SECADOR", "PR": "PRENSA", "TT": "TRITURADORA"}
+    services = ["AGUA CALDERA", "ACEITE TERMICO", "HARINA GRUESA", "TOLVA PULMON", "GASES HORNO", "PULPA FINA", "CARBON ACTIVO", "LODOS ESPESADOS"]
+    sites, parts = ["ALDEANUEVA", "BERMEOLAS", "CORTIJADA"], ["SECADO", "REFINO", "MOLIENDA"]
+    machines, cells = [], []
+    other = {"VENTILADOR": "fan", "MOLINO": "mill", "SECADOR": "dryer", "PRENSA": "press", "TRITURADORA": "crusher"}
+    for site in sites:
+        chosen = rng.sample([(k, s) for k in kinds for s in services], 14)
+        for i, (k, s) in enumerate(chosen):
+            part = rng.choice(parts)
+            tag = f"{k}{100 * sites.index(site) + i}"
+            machines.append((tag, f"{kinds[k]} {s}" if rng.random() > 0.1 else None, f"{site} {part}", 1000.0 + 37 * i, 11.0 + 3 * i, f"{kinds[k]}_{s.replace(' ', '_')}_{tag[:2]}_{tag[2:]}" if rng.random() > 0.3 else None))
+            words = [w if rng.random() > 0.4 else (w[: max(4, len(w) - 3)] + "." if rng.random() > 0.5 else w[:2] + w[3] + w[2] + w[4:]) for w in s.split()]
+            if rng.random() > 0.5:
+                words.reverse()
+            name = " ".join([rng.choice([kinds[k], other[kinds[k]]]), "-", *words])
+            cells.append((len(cells), f"r{site}", f"{part} {site}" if rng.random() > 0.3 else site, name.lower() if rng.random() > 0.5 else name, 1000.0 + 37 * i if rng.random() > 0.4 else None, 11.0 + 3 * i if rng.random() > 0.4 else None, i, tag))
+    got = link(spark, [c[:7] for c in cells], machines)
+    right = sum(got.get(c[0], ("",))[0] == c[7] for c in cells)
+    assert right >= 0.9 * len(cells) and right >= 0.97 * len(got)

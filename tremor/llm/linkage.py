@@ -119,14 +119,30 @@ def sister_letter(name: str | None) -> str | None:
     return (m[1] or m[2]).upper() if m else None
 
 
+#: Correctors of this process by what they were made of: a Python worker keeps what it has learned from task to task.
+_CORRECTORS: dict[tuple, Corrector] = {}
+
+
+def shared_corrector(vocabulary: tuple, synonyms: tuple) -> Corrector:
+    """The process' corrector for a vocabulary; only the latest few vocabularies are kept."""
+    key = (vocabulary, synonyms)
+    if key not in _CORRECTORS:
+        if len(_CORRECTORS) > 7:
+            _CORRECTORS.clear()
+        _CORRECTORS[key] = Corrector(dict(vocabulary), dict(synonyms))
+    return _CORRECTORS[key]
+
+
 _FEATURES = "words array<string>, part string, letter string, tokens array<string>"
 
 
-def _features(text: Column, area: Column, corrector: Corrector, parts: Corrector) -> Column:
+def _features(text: Column, area: Column, count: dict[str, int], part_count: dict[str, int]) -> Column:
     """Corrected words of a name, the part of the site, the sister letter and the bare tokens."""
+    made_of = [(tuple(sorted(c.items())), tuple(sorted(s.items()))) for c, s in ((count, SYNONYMS), (part_count, PARTS))]
 
     @F.pandas_udf(_FEATURES)
     def parse(names: pd.Series, areas: pd.Series) -> pd.DataFrame:
+        corrector, parts = (shared_corrector(*m) for m in made_of)
         out = []
         for name, place in zip(names, areas, strict=True):
             tokens, around = words_of(name), words_of(place)
@@ -325,18 +341,17 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
         ws.sort(key=lambda w: (-len(spread[w]), -count[w], w not in {"bomba", "elevador", "criba"}, w))
     most = sum(count.values()) or 1
     idf = {w: math.log(1 + most / n) for w, n in count.items()}
-    corrector = Corrector(count, SYNONYMS)
     part_words = _collect(
         listed.select(F.explode(F.array_distinct(F.split(F.lower("area_name"), "[^a-z]+"))).alias("w"), F.element_at(F.split(F.lower("area_name"), "[^a-z]+"), -1).alias("tail"))
         .where((F.col("w") == F.col("tail")) & (F.length("w") > 2)).groupBy("w").agg(F.count("*").alias("n")),
         "parts of sites",
     )
-    parts = Corrector({r["w"]: r["n"] for r in part_words}, PARTS)
+    part_count = {r["w"]: r["n"] for r in part_words}
 
     type_of = F.create_map(*[F.lit(x) for x in ("", "")]) if not types else F.create_map(*[x for p, ws in types.items() for x in (F.lit(p), F.array(*map(F.lit, ws)))])
     k_type = F.try_element_at(type_of, "prefix") if types else F.lit(None).cast("array<string>")
-    f = _features(F.col("text"), F.coalesce("area_name", F.lit("")), corrector, parts)
-    machines = (
+    f = _features(F.col("text"), F.coalesce("area_name", F.lit("")), count, part_count)
+    machines = checkpoint(
         listed.withColumn("f", f)
         .withColumn("k_type", k_type)
         .select(
@@ -344,9 +359,9 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
             F.array_union("f.words", F.coalesce("k_type", F.array().cast("array<string>"))).alias("k_words"), F.col("f.part").alias("k_part"),
         )
     )
-    mentions = (
+    mentions = checkpoint(
         base.drop("cell_id").distinct()
-        .withColumn("f", _features(F.col("name"), F.col("area"), corrector, parts))
+        .withColumn("f", _features(F.col("name"), F.col("area"), count, part_count))
         .select("source_ref", "mention", "m_rpm", "m_power", F.col("f.words").alias("m_words"), F.col("f.part").alias("m_part"),
                 F.col("f.letter").alias("m_letter"), "f.tokens")
     )
