@@ -13,7 +13,10 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.sql.adaptive.enabled", "false")  # tables of a few rows: no stage needs planning anew
+        .config("spark.default.parallelism", "2")
+        .config("spark.sql.codegen.wholeStage", "false")  # nor is compiling worth its while
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")

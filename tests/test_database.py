@@ -9,7 +9,7 @@ from tremor.sources.records import decode_text, read_records, tag_frequencies, t
 
 @pytest.fixture(scope="module")
 def path(tmp_path_factory):
-    return database(tmp_path_factory.mktemp("db") / "plant.rbm")
+    return database(tmp_path_factory.mktemp("db") / "plant.rec")
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def test_scan_and_pushdown(spark, path):
 
 
 def test_bad_size(spark, tmp_path):
-    bad = tmp_path / "bad.rbm"
+    bad = tmp_path / "bad.rec"
     bad.write_bytes(b"x" * 700)
     with pytest.raises(Exception, match="multiple"):
         read_records(spark, str(bad)).count()
@@ -60,7 +60,7 @@ def test_spectra(db):
 
 
 def test_cycle_drops_the_chain(spark, tmp_path):
-    broken = Database(spark, database(tmp_path / "cycle.rbm", cycle=True))
+    broken = Database(spark, database(tmp_path / "cycle.rec", cycle=True))
     assert broken.spectrum_refs().count() == 0
     assert ("cycle", "vdps") in {(r["fault"], r["chain"]) for r in broken.faults().collect()}
 

@@ -14,7 +14,7 @@ from tremor.sources import dataset
 
 @pytest.fixture(scope="module")
 def db(spark, tmp_path_factory):
-    return Database(spark, database(tmp_path_factory.mktemp("export") / "plant.rbm"))
+    return Database(spark, database(tmp_path_factory.mktemp("export") / "plant.rec"))
 
 
 def test_export_and_read_back(spark, db, tmp_path):
