@@ -43,7 +43,10 @@ class PrefixEncoder:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.pieces = regex.compile(pieces)
-        self.longest = max(map(len, ranks))
+        #: length of the longest token that ends with each byte
+        self.longest = [0] * 256
+        for token in ranks:
+            self.longest[token[-1]] = max(self.longest[token[-1]], len(token))
         self.halves: dict[int, tuple[int, int]] = {}
         self.merges: dict[tuple[int, int], int] = {}
         for token, i in ranks.items():
@@ -102,7 +105,7 @@ class PrefixEncoder:
         last = [] if last is None else last
         ranks = self.ranks
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
+            for start in range(max(0, end - self.longest[data[end - 1]]), end):
                 token = ranks.get(data[start:end])
                 if token is not None and (start == 0 or self.compatible(last[start - 1], token)):
                     if start == 0 and len(data[:end]) > 1 and token not in self.halves:

@@ -99,8 +99,10 @@ def longest_mentions(automaton: ahocorasick.Automaton, text: str) -> list[tuple[
         return []
     found = [(end - len(word) + 1, end, value) for end, (word, value) in automaton.iter(text)]
     taken: list[tuple[int, int, object]] = []
+    covered = bytearray(len(text) + 1)
     for start, end, value in sorted(found, key=lambda x: (x[0] - x[1], x[0])):
-        if all(end <= s or start >= e for s, e, _ in taken):
+        if not any(covered[start + 1 : end]):
+            covered[start + 1 : end] = b"\1" * (end - start - 1)
             taken.append((start, end, value))
     return sorted(taken, key=lambda x: x[0])
 
@@ -274,7 +276,7 @@ class CodeResolver:
             if code[0].isdigit():
                 if before.isdigit() or (start and packed[start - 1].isdigit() and at[start] - at[start - 1] <= 2):
                     continue
-                letters = re.search(r"[A-Z]*$", packed[:start])[0]
+                letters = re.search(r"[A-Z]*$", packed[max(0, start - 40) : start])[0]  # no series is as long
                 if any(letters.endswith(s) and (len(letters) == len(s) or at[start - len(s)] - at[start - len(s) - 1] > 1) for s in self.series):
                     continue
             elif before.isalpha():
@@ -282,11 +284,12 @@ class CodeResolver:
             if any(at[k + 1] - at[k] > 2 for k in range(start, end)):
                 continue
             found.append((start, end, code))
-        taken: list[tuple[int, int, str]] = []
+        covered = bytearray(len(packed))
+        refs: set[int] = set()
         for start, end, code in sorted(found, key=lambda x: (x[0] - x[1], x[0])):
-            if all(end < s or start > e for s, e, _ in taken):
-                taken.append((start, end, code))
-        refs = {r for _, _, code in taken for r in self.items[code]}
+            if not any(covered[start : end + 1]):
+                covered[start : end + 1] = b"\1" * (end + 1 - start)
+                refs |= self.items[code]
         return refs.pop() if len(refs) == 1 else 0
 
 
