@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from tremor.functions.unit_grammar import UnitReader
 
 CATALOGUE_LIMIT = 10_000
+#: An alarm line is a band, a figure, a unit and a level.
+LINE = 500
 #: Quantities that a field can hold, weighed: what a vibration limit or reading most often is.
 VIBRATION_PRIORS = {"velocity": 0.3, "acceleration": 0.2, "displacement": 0.1}
 
@@ -39,10 +41,13 @@ def alarm_line_unit(reader: UnitReader, text: str | None, band: str | None) -> s
     """Unit of the value that the alarm line within ``text`` reports, or None.
 
     Other figures in the text (former limits, speeds, temperatures, the edges of
-    the band) don't count. Whole texts are searched, whatever their length.
+    the band) don't count. Whole texts are searched, whatever their length; a line of
+    more than ``LINE`` characters is no alarm line.
     """
     for line in re.split(r"[\r\n]+", text or ""):
         line = line.strip()
+        if len(line) > LINE:
+            continue
         for layout in _LAYOUTS:
             if not (m := layout.match(line)):
                 continue
