@@ -69,6 +69,29 @@ def test_near_classes_against_brute_force(spark):
     assert want and {(r["a"], r["b"]) for r in residue.near_classes(classes).collect()} == want
 
 
+def test_all_alike_classes_are_linked(spark):
+    """Links are all pairs of the similarity, also those whose hashes lie far apart."""
+    import random
+
+    rng = random.Random(2)
+    texts = []
+    for k in range(12):
+        base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([5, 9, 30, 80, 120]))]
+        texts.append(base)
+        for _ in range(5):
+            t = base.copy()
+            for _ in range(rng.randrange(1, 4)):
+                t[rng.randrange(len(t))] = f"x{k}"
+            texts.append(t + [f"y{k}"] * rng.randrange(3))
+    texts = sorted({" ".join(t) for t in texts}) + ["", "one", "one two", "a b c d e " * 3, "a b c d e " * 4]
+    sims = residue.simhashes(texts)
+    classes = spark.createDataFrame([(i, t, int(s)) for i, (t, s) in enumerate(zip(texts, sims, strict=True))], "class long, core string, sim long")
+    sets = [residue.shingles(t) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    far = {(i, j) for i, j in want if bin((int(sims[i]) ^ int(sims[j])) & (2**64 - 1)).count("1") > residue.HAMMING}
+    assert far and {(r["a"], r["b"]) for r in residue.near_classes(classes).collect()} == want
+
+
 def test_every_pair_within_the_distance_shares_a_table(spark):
     import random
 

@@ -1,8 +1,9 @@
 """Template residue, padding and messages that stand where a report should be.
 
 Method: near-duplicate classes of document cores are found with partitioned SimHash
-tables, verified by Hamming distance and by the Jaccard similarity of their five-word
-shingles; residue labels that are trusted from the text itself are propagated through
+tables and, for the pairs whose hashes lie further apart, by the rarest shingles of
+each core; all are verified by the Jaccard similarity of their five-word shingles;
+residue labels that are trusted from the text itself are propagated through
 the connected components; an exact check of each document's own text follows.
 
 The core of a document is its text without header lines, navigation, mark-up, ids and
@@ -13,7 +14,9 @@ Scale: one narrow pass reads every whole text and keeps a 64-bit class, a SimHas
 flags; only cores that can be residue at all (they hold a field, or hold no measured
 content) go on, once per class with a map-side combine. The tables are keyed by pairs
 of the hash's eight bytes, so every two hashes up to six bits apart share a bucket and
-buckets are small; links are stored, components and labels stay distributed.
+buckets are small. Two cores of the least similarity share one of their rarest
+shingles, a fifth of each core, so frequent shingles are hardly ever keys. Links are
+stored, components and labels stay distributed.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tremor.session import checkpoint
@@ -306,9 +309,37 @@ def read_documents(documents: DataFrame) -> DataFrame:
     return texts.mapInPandas(read, "doc_id long, core string, label string, sim long")
 
 
+def rare_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that can be alike, all that are alike among them.
+
+    Of n shingles alike texts share SIMILARITY * n at least, so one of the
+    n - SIMILARITY * n + 1 first in any order that holds for all; here the rarest first.
+    """
+
+    @F.pandas_udf("array<long>")
+    def hashes(cores: pd.Series) -> pd.Series:
+        return cores.map(lambda c: np.unique(pd.util.hash_array(np.array([" ".join(s) for s in shingles(c)], dtype=object), categorize=False).view(np.int64)))
+
+    each = checkpoint(classes.select("class", hashes("core").alias("s")).select("class", F.size("s").alias("n"), F.explode("s").alias("s")))
+    often = each.groupBy("s").agg(F.count("*").alias("k"))
+    least = F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-6)
+    first = (
+        each.join(often, "s")
+        .withColumn("_r", F.row_number().over(Window.partitionBy("class").orderBy("k", "s")))
+        .where((F.col("_r") <= F.col("n") - least + 1) & (F.col("k") > 1))
+        .select("class", "s", "n", least.alias("least"))
+    )
+    a, b = first.alias("a"), first.alias("b")
+    sizes = (F.col("a.n") >= F.col("b.least")) & (F.col("b.n") >= F.col("a.least"))
+    return a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.class") < F.col("b.class")) & sizes).select(
+        F.col("a.class").alias("a"), F.col("b.class").alias("b")
+    )
+
+
 def near_classes(classes: DataFrame) -> DataFrame:
-    """Links (a, b) between classes whose SimHashes differ in at most six bits and whose texts are alike.
+    """Links (a, b) between all classes whose texts are alike.
 
+    Candidates are the pairs of near SimHashes and those that share a rare shingle.
     Two hashes up to six bits apart agree in two of their eight bytes at least; each
     pair of bytes is a table.
     """
@@ -322,6 +353,7 @@ def near_classes(classes: DataFrame) -> DataFrame:
         a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.class") < F.col("b.class")))
         .where(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING)
         .select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
+        .unionByName(rare_pairs(classes))
         .distinct()
     )
 
