@@ -26,6 +26,28 @@ def test_messages(text):
     assert read_document(text)[1] == "message"
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["Unhandled exception at R.render(R:24)\n" + "".join(f"  at viewer.Render{chr(97 + i % 26)}(R:{i})\n" for i in range(300)),
+     "".join(f"The {a} server is under maintenance and not available until the work of the {b} team is over.\n" for a in ("report", "folder", "image", "chart") for b in ("network", "storage", "database", "backup", "cooling")) + "".join(f"The server {chr(97 + i) * 5} is down for maintenance. " for i in range(20))],
+)
+def test_long_messages(text):
+    assert len(text.split()) > 240 and read_document(text)[1:] == ("message", True)
+
+
+def test_long_texts_of_no_rule_can_be_reached():
+    assert read_document(" ".join(f"We saw hall {chr(97 + i % 26) * 3} and came back without news of paint {chr(97 + i % 23) * 4}." for i in range(40)))[1:] == (None, True)
+
+
+@pytest.mark.parametrize("text", ["(ref ", "<p ", "word ", "server. "])
+def test_long_texts_are_read_in_linear_time(text):
+    import time
+
+    began = time.process_time()
+    read_document(" ".join(f"{text}{chr(97 + i % 26)}" for i in range(60_000)))
+    assert time.process_time() - began < 20
+
+
 @pytest.mark.parametrize("text", ["bla\n" * 30, "xxxx, " * 20, "Lorem ipsum dolor amet vestib consectur. Nullam quisque tempus porta mollis.", "Este é um texto de exemplo. " * 3, "fskhkjhg klf djkkjhhh jdñhk ghlds agksj", "aaaa aaaa aaaa aaaa", "lorem ipsum dolor " * 4000])
 def test_padding(text):
     assert read_document(text)[1] == "padding"

@@ -36,8 +36,8 @@ from tremor.session import checkpoint
 SHINGLE = 5
 SIMILARITY = 0.8
 HAMMING = 6
-#: Cores up to so many words can be residue without a field: no message or prompt is longer; padding is told by itself.
-SHORT = 60
+#: Repeated words are padding in texts of more words only if their figures repeat too: a long table repeats its words.
+TABLE = 240
 
 _ASK = (
     r"tbd|to ?do|fill in|insert(?:ar)?|enter|complete|por completar|completar|rellenar|à compl[ée]ter|compl[ée]ter|remplir|ins[ée]rer|saisir"
@@ -69,7 +69,7 @@ _HEAD = re.compile(r"^\s*[^\W\d][\w /.]{1,24}:\s+\S[^!?]{0,48}(?<![.!?])$")
 _TITLE = re.compile(r"^\s*[^\W\d][^.!?:|]{4,40}(?:\s\d{1,5}/\d\d)?\s*$")
 _NAVIGATION = re.compile(r"^\s*(?:[\w ]{3,20}\|)+[\w ]{3,20}\s*$|^\s*©.*$|^\s*(?:volver al inicio|back to home|retour .{0,20}|zur(?:ü|u)ck .{0,20}|voltar .{0,20})\s*$", re.I)
 _GREETING = re.compile(r"^\W*(?:buenos d[íi]as|hola|bonjour|hello all|hello|hi|ol[áa]|bom dia|guten tag|hallo|saludos|cordialement|regards|gr[üu][ßs]e|atenciosamente|an-\d+)\W*$", re.I)
-_TAG = re.compile(r"</?(?:html|head|title|body|h\d|noscript|script|pre|p|div|span|br)\b[^>]*>", re.I)
+_TAG = re.compile(r"</?(?:html|head|title|body|h\d|noscript|script|pre|p|div|span|br)\b[^<>]*>", re.I)
 
 #: What servers, viewers and browsers say: of failure and of scripts (strong), and what they say beside it (weak).
 STRONG = re.compile(
@@ -106,7 +106,7 @@ _HIDDEN = re.compile("[\u200b\u200c\u200d\u2060\ufeff\u00ad]")
 _SENTENCE_END = re.compile(r"(?<=[.!?])(?=\s)|\n")
 _HEX = re.compile(r"\b(?=[0-9a-f]*\d)(?=[0-9]*[a-f])[0-9a-f]{7,}\b")
 #: Ids and marks beside a message, and letters of other scripts, that say nothing here.
-_BESIDE = re.compile(r"\(\s*ref\b[^)\n]*\)|\(code \d+\)|\brequest id:? \w+|[\u2e80-\u9fff\uac00-\ud7af\u3040-\u30ff\uff00-\uffef]+", re.I)
+_BESIDE = re.compile(r"\(\s*ref\b[^()\n]*\)|\(code \d+\)|\brequest id:? \w+|[\u2e80-\u9fff\uac00-\ud7af\u3040-\u30ff\uff00-\uffef]+", re.I)
 #: Parts of every prompt, looked for first.
 _PROMPT_PARTS = ("aqu", "clic", "klick", "here", " ici", "hier ein")
 
@@ -170,6 +170,7 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
     marks = fields_of(text) if not dump and _MAY_MARK.search(text) else []
     low = text.lower()
     asks = any(p in low for p in _PROMPT_PARTS) and bool(PROMPT.search(text))
+    varied = False
     if not marks and not asks:
         whole = 0
         for sentence in _SENTENCE_END.split(low):
@@ -177,10 +178,9 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
             if whole > 1:
                 return "", None, False  # two whole sentences of measured content
         words = text.split()
-        if len(words) > 4 * SHORT and len(set(words)) > len(words) // 12 and not _SAMPLE.search(text):
+        if len(words) > TABLE and len(set(words)) > len(words) // 12 and not _SAMPLE.search(text):
             known = sum(1 for w in words if _FILLER.match(w))
-            if known < len(words) // 4 and set("".join(words).lower()) - set("asdfghjklñ.,;:!?-"):
-                return "", None, False  # longer than any message, and no filler
+            varied = known < len(words) // 4 and bool(set("".join(words).lower()) - set("asdfghjklñ.,;:!?-"))
     out, at = [], 0
     for m in marks:
         out.append(text[at : m.start()] + "□")
@@ -220,7 +220,7 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
         return core, None, False
     if trace:
         plain = [p for p in plain if p != "exception"]
-    if not trace and is_padding(core):
+    if not trace and not varied and is_padding(core):
         return core, "padding", True
     # a text that broke off at once: one unfinished sentence, then the message
     if len(plain) + (trace > 1) > 1 and not plain[0].rstrip().endswith((".", "!", "?", ":", ";")) and not STRONG.search(plain[0]) and (trace > 1 or STRONG.search(" ".join(plain[1:3]))):
@@ -238,9 +238,8 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
         elif WEAK.search(s) or not _WORD.search(s):
             weak += 1
         else:
-            return core, None, len(core.split()) <= SHORT
-    short = len(core.split()) <= SHORT
-    return core, "message" if strong and short else None, short
+            return core, None, True
+    return core, "message" if strong else None, True
 
 
 def shingles(core: str) -> set[tuple]:
