@@ -69,6 +69,19 @@ def test_blocks_find_the_same(spark):
     assert flagged(spark, data) == flagged(spark, data, block_rows=500)
 
 
+def test_one_rule_at_every_size(spark):
+    """Noise of a part, a channel stuck throughout, own values of a coarse scale and runs over several blocks."""
+    loud = noisy(2000, seed=7)
+    loud[1000:1500] = [float(np.exp(0.3 * x)) for x in np.random.default_rng(8).standard_normal(500)]
+    calm = noisy(2000, seed=9)
+    coarse = [1.0 if x < 1.03 else 1.1 for x in noisy(2000, seed=10)]
+    coarse[200:212], coarse[480:1260] = [1.1] * 12, [1.1] * 780
+    data = series(loud, hours=1) + series(calm, point=2, start=10_000, hours=1, bands=[[0.7]] * 2000) + series(coarse, point=3, start=20_000, hours=1)
+    whole = flagged(spark, data)
+    assert set(range(10_000, 12_000)) <= whole and set(range(20_480, 21_260)) <= whole and any(1000 <= i < 1500 for i in whole)
+    assert flagged(spark, data, block_rows=300) == whole
+
+
 def test_degenerate(spark):
     assert flagged(spark, []) == set()
     assert flagged(spark, [(1, None, None, -5.0, None, None), (2, 1, None, 1.0, [1.0], None), (3, 1, T0, None, None, None), (4, 1, T0, 1.0, [], None)]) == {1}

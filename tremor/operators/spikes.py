@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP = 200.0
@@ -151,15 +151,18 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return out
 
 
-_OUT = "point long, ts long, vhash long, kind int, channel int, context int, off double, run int, local double"
+_OUT = "point long, ts long, vhash long, kind int, channel int, context int, off double, run int, value double, block long, edge int"
 
 
 def _examine(table: pa.Table) -> Iterator[pd.DataFrame]:
     """Findings of some whole blocks, sorted by point, block and time.
 
     kind 0: a finding of a source that is one block. Of a source in several blocks
-    kind 1 is a reading that may be one, kind 2 a part of a sketch (bucket in
-    ``run``, count in ``vhash``), kind 3 a part of the counts of runs.
+    kind 1 is a reading off its course or in a run that may be too long, kind 2 a
+    part of a sketch (bucket in ``run``, count in ``vhash``), kind 3 a part of the
+    counts of runs with the smallest step, kind 4 a part of the counts of a value's
+    runs, kind 5 the first or last run of a block (``edge`` 1 or 2), which may go on
+    in the next. Nothing of a source in several blocks is judged here.
     """
     point, block = table["point"].to_numpy(), table["block"].to_numpy()
     ts, vhash = table["ts"].to_numpy(), table["vhash"].to_numpy()
@@ -198,29 +201,49 @@ def _examine(table: pa.Table) -> Iterator[pd.DataFrame]:
             spike = off > half * (1 + 2 * FENCE)
             lone = run >= run_bound(n[g], own_chance(v, g, run, first))
             stuck = lone & (run >= run_bound(n, repeats / np.maximum(runs, 1))[g])
-            maybe = (off > half) | lone
-        for kind, rows in ((0, np.flatnonzero(w & (spike | stuck))), (1, np.flatnonzero(~w & c & maybe))):
-            if len(rows):
-                yield pd.DataFrame({
-                    "point": point[at][rows], "ts": ts[at][rows], "vhash": vhash[at][rows], "kind": kind, "channel": channel,
-                    "context": hours[at][rows], "off": off[rows], "run": np.where(lone, run, 0)[rows], "local": half[rows],
-                })
+        rows = np.flatnonzero(w & (spike | stuck))
+        if len(rows):
+            yield pd.DataFrame({
+                "point": point[at][rows], "ts": ts[at][rows], "vhash": vhash[at][rows], "kind": 0, "channel": channel,
+                "context": hours[at][rows], "off": off[rows], "run": run[rows], "value": v[rows], "block": -1, "edge": 0,
+            })
         parts = ~w & c
         if parts.any():
+            of = np.flatnonzero(parts)
+            length, opens = repeat_runs(v[of], g[of])
+            place = np.cumsum(opens) - 1
+            begins = np.r_[True, g[of][1:] != g[of][:-1]]
+            ends = np.r_[begins[1:], True]
+            which = np.cumsum(begins) - 1
+            is_first, is_last = place == place[begins][which], place == place[ends][which]
+            edge = np.where(is_first, 1, np.where(is_last, 2, 0))
+            for kind, some in ((1, (off[of] > 0) | (length >= MIN_RUN) | (edge > 0)), (5, opens & (edge > 0))):
+                rows = of[some]
+                if len(rows):
+                    yield pd.DataFrame({
+                        "point": point[at][rows], "ts": ts[at][rows], "vhash": vhash[at][rows], "kind": kind, "channel": channel, "context": hours[at][rows],
+                        "off": off[rows], "run": length[some], "value": v[rows], "block": block[at][rows], "edge": edge[some],
+                    })
             mine = has[parts[has]]
             s = pd.DataFrame({"point": point[at][mine], "context": hours[at][mine], "run": bucket(step[mine])})
             s = s.groupby(["point", "context", "run"]).size().rename("vhash").reset_index()
-            yield s.assign(ts=0, kind=2, channel=channel, off=0.0, local=0.0)
-            t = pd.DataFrame({"point": point[at][parts], "vhash": 1, "run": (first & (run > 1))[parts], "context": first[parts]})
-            t = t.groupby("point").agg(vhash=("vhash", "sum"), run=("run", "sum"), context=("context", "sum")).reset_index()
-            yield t.assign(ts=0, kind=3, channel=channel, off=0.0, local=0.0)
+            none = {"ts": 0, "channel": channel, "off": 0.0, "block": -1, "edge": 0}
+            yield s.assign(kind=2, value=0.0, **none)
+            small = np.full(len(at), np.inf)
+            small[has] = step[has]
+            t = pd.DataFrame({"point": point[at][parts], "vhash": 1, "run": (first & (run > 1))[parts], "context": first[parts], "value": small[parts]})
+            t = t.groupby("point").agg(vhash=("vhash", "sum"), run=("run", "sum"), context=("context", "sum"), value=("value", "min")).reset_index()
+            yield t.assign(kind=3, **none)
+            u = pd.DataFrame({"point": point[at][parts], "value": v[parts], "run": 1, "context": first[parts]})
+            u = u.groupby(["point", "value"]).agg(run=("run", "sum"), context=("context", "sum")).reset_index()
+            yield u.assign(kind=4, vhash=0, **none)
 
 
 def _examine_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Feeds whole blocks to ``_examine``; a block over a batch's end waits for the next batch."""
     schema = pa.schema([
         ("point", pa.int64()), ("ts", pa.int64()), ("vhash", pa.int64()), ("kind", pa.int32()), ("channel", pa.int32()),
-        ("context", pa.int32()), ("off", pa.float64()), ("run", pa.int32()), ("local", pa.float64()),
+        ("context", pa.int32()), ("off", pa.float64()), ("run", pa.int32()), ("value", pa.float64()), ("block", pa.int64()), ("edge", pa.int32()),
     ])
 
     def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -274,7 +297,10 @@ def _blocks(distinct: DataFrame, counts: DataFrame, limit: int) -> DataFrame:
 
 
 def _settle(found: DataFrame) -> DataFrame:
-    """Findings of sources in several blocks, judged by their merged sketches and counts."""
+    """Findings of sources in several blocks, judged by their merged sketches and counts as a source in one block is.
+
+    The fences are one row per source and channel, so at most 100,000 times the channels.
+    """
     keys = ["point", "channel"]
     sketch = found.where("kind = 2").groupBy(*keys, "context", "run").agg(F.sum("vhash").alias("k"))
     merged = sketch.groupBy(*keys, "run").agg(F.sum("k").alias("k")).withColumn("context", F.lit(-1))
@@ -289,15 +315,45 @@ def _settle(found: DataFrame) -> DataFrame:
         .withColumn("typical", 2 * F.pow(F.lit(GAMMA), "b") / (GAMMA + 1))
     )
     counts = found.where("kind = 3").groupBy(*keys).agg(
-        F.sum("vhash").alias("n"), F.sum("run").alias("repeats"), F.sum("context").alias("runs")
+        F.sum("vhash").alias("n"), F.sum("run").alias("repeats"), F.sum("context").alias("runs"), F.min("value").alias("smallest")
+    )
+
+    def bound(share: Column) -> Column:
+        p = F.least(F.greatest(share, F.lit(1e-9)), F.lit(0.95))
+        return F.greatest(F.lit(MIN_RUN), F.ceil(1 + F.log(F.lit(CHANCE) / F.col("n")) / F.log(p)))
+
+    typical = medians.groupBy(*keys).agg(
+        F.max(F.when(F.col("context") == -1, F.col("typical"))).alias("whole"),
+        *[F.max(F.when((F.col("context") == c) & (F.col("n") >= CONTEXT_LEAST), F.col("typical"))).alias(f"own{c}") for c in range(4)],
+    )
+    fences = F.broadcast(
+        counts.join(typical, keys, "left").select(
+            *keys, "n", bound(F.col("repeats") / F.greatest("runs", F.lit(1))).alias("bound"),
+            *[F.greatest(F.coalesce(f"own{c}", "whole"), F.when(F.col("whole").isNotNull(), F.col("smallest") / 2)).alias(f"half{c}") for c in range(4)],
+        )
+    )
+    maybe = found.where("kind = 1")
+    half = F.coalesce(*[F.when(F.col("context") == c, F.col(f"half{c}")) for c in range(4)])
+    off = maybe.where("off > 0").join(fences, keys).where(F.col("off") > half * (1 + 2 * FENCE)).select("point", "ts", "vhash")
+    # runs that go on from block to block are one
+    w = Window.partitionBy(*keys).orderBy("block", "edge")
+    goes_on = (F.col("edge") == 1) & F.coalesce(F.lag("value").over(w) == F.col("value"), F.lit(False))
+    edges = found.where("kind = 5").withColumn("new", (~goes_on).cast("int")).withColumn("one", F.sum("new").over(w))
+    joined = edges.withColumn("total", F.sum(F.col("run").cast("long")).over(Window.partitionBy(*keys, "one"))).select(*keys, "block", "edge", "total")
+    runs = (
+        maybe.where(f"edge > 0 or run >= {MIN_RUN}")
+        .join(joined, [*keys, "block", "edge"], "left")
+        .withColumn("run", F.coalesce("total", F.col("run").cast("long")))
+        .where(F.col("run") >= MIN_RUN)
+        .join(fences, keys)
+        .where(F.col("run") >= F.col("bound"))
+        .select("point", "ts", "vhash", "channel", "value", "run", "n")
     )
-    p = F.least(F.greatest(F.col("repeats") / F.greatest("runs", F.lit(1)), F.lit(1e-9)), F.lit(0.95))
-    bound = counts.select(*keys, F.greatest(F.lit(MIN_RUN), F.ceil(1 + F.log(F.lit(CHANCE) / F.col("n")) / F.log(p))).alias("bound"))
-    own = medians.where(f"context >= 0 and n >= {CONTEXT_LEAST}").select(*keys, "context", F.col("typical").alias("own"))
-    all_ = medians.where("context = -1").select(*keys, F.col("typical").alias("whole"))
-    judged = found.where("kind = 1").join(all_, keys).join(own, [*keys, "context"], "left").join(bound, keys)
-    half = F.greatest(F.coalesce("own", "whole"), F.col("local") / 3)
-    return judged.where((F.col("off") > half * (1 + 2 * FENCE)) | (F.col("run") >= F.col("bound"))).select("point", "ts", "vhash")
+    same = found.where("kind = 4").groupBy(*keys, "value").agg(F.sum("run").alias("all"), F.sum("context").alias("times"))
+    rest = F.col("all") - F.col("run")
+    own = F.when(F.col("times") > 2, (rest - (F.col("times") - 1)) / rest).otherwise(F.lit(0.0))
+    stuck = runs.join(same, [*keys, "value"]).where(F.col("run") >= bound(own)).select("point", "ts", "vhash")
+    return off.unionByName(stuck)
 
 
 def implausible_readings(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
