@@ -44,6 +44,15 @@ def test_alarm_lines(reader, text, band, unit):
     assert units.alarm_line_unit(reader, text, band) == unit
 
 
+@pytest.mark.parametrize(
+    ("text", "unit"),
+    [("BAND - 5.2 mm/Seg - C Alarm " + "and so on " * 60, "mm/s"), ("so it is " * 60 + ": 3,5 G's (C)", "g"), ("Valor medido en " + "x " * 400 + "= 0,234 plg./s, nivel D " + "y " * 400, "in/s"),
+     ("ALARMA C / " + "OVERALL / " * 100 + "[plg./s] 0.249", "in/s"), ("x " * 400 + "mm / s 4.320 alarma C", "mm/s"), ("a - 1 " * 200_000, None), ("a: 1 = 2, / [ " * 100_000 + "- 1", None)],
+)
+def test_alarm_lines_of_any_length(reader, text, unit):
+    assert units.alarm_line_unit(reader, text, None) == unit
+
+
 def test_quantities(spark):
     catalogue = spark.createDataFrame([("mm/s", "velocity", "mm/s", 1.0, 2), ("in/s", "velocity", "mm/s", 25.4, 1), ("g", "acceleration", "g", 1.0, 3)], "unit string, quantity string, common_unit string, to_common double, limit_code int")
     limits = spark.createDataFrame([(1, 1, "SET in/sec", [1.0, 0.0, 2.0], [0.0, 0.0, float("nan")], [2, 1, 99]), (2, 2, None, None, None, None)], "record_num long, set_index int, set_name string, alert array<float>, danger array<float>, unit_codes array<int>")

@@ -14,6 +14,7 @@ checked before it is taken to the driver.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,46 +23,84 @@ from pyspark.sql import functions as F
 from tremor.functions.unit_grammar import UnitReader
 
 CATALOGUE_LIMIT = 10_000
-#: An alarm line is a band, a figure, a unit and a level.
-LINE = 500
 #: Quantities that a field can hold, weighed: what a vibration limit or reading most often is.
 VIBRATION_PRIORS = {"velocity": 0.3, "acceleration": 0.2, "displacement": 0.1}
 
 _NUM = r"[-+]?\d+(?:[.,]\d+)?"
-_LAYOUTS = [
-    re.compile(rf"^.+\s-\s+{_NUM}\s*(?P<unit>.*?)\s*-\s+[CD]\s+Alarm\b", re.I),
-    re.compile(rf"^ALARMA\s+[CD]\s*/.*/\s*(?:\[(?P<unit>[^\]]*)\])?\s*{_NUM}\s*$", re.I),
-    re.compile(rf"^Valor medido en .+=\s*{_NUM}\s*(?P<unit>.*?)\s*,\s*nivel\s+[CD]\b", re.I),
-    re.compile(rf"^.+:\s*{_NUM}\s*(?P<unit>.*?)\s*\([CD]\)\s*$", re.I),
-    re.compile(rf"^(?P<before>.+?)\s+{_NUM}\s+alarma\s+[CD]\s*$", re.I),
-]
+#: Heads of an alarm line (what stands before the unit) and anchors (what stands after it), by layout.
+_DASHED = re.compile(rf"\s-\s+{_NUM}", re.I), re.compile(r"-\s+[CD]\s+Alarm\b", re.I)
+_LEVEL = re.compile(rf"=\s*{_NUM}", re.I), re.compile(r",\s*nivel\s+[CD]\b", re.I)
+_COLON = re.compile(rf":\s*{_NUM}", re.I), re.compile(r"\([CD]\)$", re.I)
+_ALARMA = re.compile(r"ALARMA\s+[CD]\s*/", re.I)
+_MEASURED = re.compile(r"Valor medido en ", re.I)
+_FIGURE = re.compile(rf"\s*{_NUM}")
+_OPENS = re.compile(r"/\s*\[")
+_TAIL = re.compile(rf"{_NUM}\s+alarma\s+[CD]", re.I)
+
+
+def _between(line: str, start: int, head: re.Pattern, anchor: re.Pattern) -> str | None:
+    """What stands between the last head from ``start`` on that has an anchor behind it and the first such anchor."""
+    anchors = [m.start() for m in anchor.finditer(line, start)]
+    if not anchors:
+        return None
+    ends = [m.end() for m in head.finditer(line, start) if m.end() <= anchors[-1]]
+    if not ends:
+        return None
+    return line[ends[-1] : anchors[bisect_left(anchors, ends[-1])]].strip()
+
+
+def _bracketed(line: str) -> tuple[str | None] | None:
+    """The unit in brackets, or None in the tuple, of a line that ends in a figure after the last slash."""
+    if not (m := _ALARMA.match(line)):
+        return None
+    slash = line.rfind("/")
+    if slash >= m.end() and _FIGURE.fullmatch(line, slash + 1):
+        return (None,)
+    close = line.rfind("]")
+    if close < 0 or not _FIGURE.fullmatch(line, close + 1):
+        return None
+    opens = list(_OPENS.finditer(line, max(m.end(), line.rfind("]", 0, close) + 1), close))
+    if not opens:
+        return None
+    return (line[opens[-1].end() : close],)
+
+
+def layout_parts(line: str) -> dict[str, str | None] | None:
+    """The unit, or what stands before the figure, of a stripped line in one of the layouts; each is read once."""
+    if (unit := _between(line, 0, *_DASHED)) is not None:
+        return {"unit": unit}
+    if (found := _bracketed(line)) is not None:
+        return {"unit": found[0]}
+    if (m := _MEASURED.match(line)) and (unit := _between(line, m.end() + 1, *_LEVEL)) is not None:
+        return {"unit": unit}
+    if (unit := _between(line, 1, *_COLON)) is not None:
+        return {"unit": unit}
+    words = line.rsplit(None, 3)
+    if len(words) == 4 and _TAIL.fullmatch(" ".join(words[1:])):
+        return {"before": words[0]}
+    return None
 
 
 def alarm_line_unit(reader: UnitReader, text: str | None, band: str | None) -> str | None:
     """Unit of the value that the alarm line within ``text`` reports, or None.
 
     Other figures in the text (former limits, speeds, temperatures, the edges of
-    the band) don't count. Whole texts are searched, whatever their length; a line of
-    more than ``LINE`` characters is no alarm line.
+    the band) don't count. Whole texts are searched, whatever their length and that of their lines.
     """
     for line in re.split(r"[\r\n]+", text or ""):
-        line = line.strip()
-        if len(line) > LINE:
+        parts = layout_parts(line.strip())
+        if parts is None:
             continue
-        for layout in _LAYOUTS:
-            if not (m := layout.match(line)):
-                continue
-            parts = m.groupdict()
-            if "before" not in parts:
-                return reader.read(parts["unit"])
-            before = parts["before"]
-            if band and before.upper().startswith(band.upper()):
-                return reader.read(before[len(band) :].strip())
-            words = before.split()
-            for size in range(min(4, len(words) - 1), 0, -1):
-                if unit := reader.read(" ".join(words[-size:])):
-                    return unit
-            return None
+        if "before" not in parts:
+            return reader.read(parts["unit"])
+        before = parts["before"]
+        if band and before.upper().startswith(band.upper()):
+            return reader.read(before[len(band) :].strip())
+        words = before.split()
+        for size in range(min(4, len(words) - 1), 0, -1):
+            if unit := reader.read(" ".join(words[-size:])):
+                return unit
+        return None
     return None
 
 
