@@ -117,3 +117,12 @@ def test_inventory(spark):
     df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", None), (2, "b", None)], "k long, p string, q string")
     assert rows(inventory.conflicts(df, ["k"], ["p", "q"])) == [(1, ["q"])]
     assert {(r["p"], r["n"], r["pct"]) for r in inventory.histogram(df, "p").collect()} == {("a", 2, 50.0), ("b", 2, 50.0)}
+
+
+def test_pointer_chain_of_a_hot_customer(spark, tmp_path):
+    from tremor.plans.domain import pointer_chain
+
+    orders = spark.range(1, 5001).selectExpr("CASE WHEN id % 10 = 0 THEN id ELSE 0 END AS o_custkey", "id AS o_orderkey")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    got = pointer_chain(spark, str(tmp_path))
+    assert got.count() == 5000 and got.agg({"hop": "max"}).first()[0] == 4499
