@@ -42,6 +42,14 @@ def test_neighbours_settle_sisters(spark):
     assert {k: v[0] for k, v in link(spark, cells).items()} == {1: "BC1A", 2: "BC1B"}
 
 
+def test_claims_of_neighbours_move_scores(spark):
+    """Neither mention is clear by itself; what the second claims with rare words settles the first."""
+    edges = [("r", 1, "k1", 1.9, 0.2), ("r", 1, "k2", 2.0, 1.0), ("r", 2, "k1", 2.9, 1.0), ("r", 2, "k3", 2.7, 1.0), ("s", 1, "k1", 1.9, 0.2), ("s", 1, "k2", 2.0, 1.0)]
+    df = spark.createDataFrame(edges, "source_ref string, mention long, normalized_tag string, own double, weight double")
+    assert linkage._settle(df.withColumnRenamed("own", "score")).count() == 0
+    assert [tuple(r)[:3] for r in linkage._settle(linkage.propagate(df)).collect()] == [("r", 1, "k2")]
+
+
 def test_ties_stay_open(spark):
     assert link(spark, [(1, "r", "Norte Secado", "Bomba centrifuga agua caldera", None, None, 1)]) == {}
 
