@@ -50,6 +50,13 @@ def test_claims_of_neighbours_move_scores(spark):
     assert [tuple(r)[:3] for r in linkage._settle(linkage.propagate(df)).collect()] == [("r", 1, "k2")]
 
 
+def test_long_chains_settle_to_the_end(spark):
+    """Each mention is told by the one before it only."""
+    edges = [("r", i, f"k{j:02}", 2.0) for i in range(15) for j in (i - 1, i) if j >= 0]
+    df = spark.createDataFrame(edges, "source_ref string, mention long, normalized_tag string, score double")
+    assert {(r["mention"], r["normalized_tag"]) for r in linkage._settle(df).collect()} == {(i, f"k{i:02}") for i in range(15)}
+
+
 def test_ties_stay_open(spark):
     assert link(spark, [(1, "r", "Norte Secado", "Bomba centrifuga agua caldera", None, None, 1)]) == {}
 

@@ -48,7 +48,6 @@ PARTS = {
 STOP = frozenset(("de", "del", "la", "el", "los", "no", "n", "num", "zona", "nd", "ver", "nota", "pl", "baja", "y", "d"))
 MIN_SCORE = 1.0
 MARGIN = 0.25
-ROUNDS = 12
 #: What a neighbour's full claim on a machine takes from the scores of the others there.
 CLAIM = 0.4
 #: Claims are taken as settled when no score changes by more.
@@ -301,7 +300,7 @@ def _settle(edges: DataFrame) -> DataFrame:
     """
     left = checkpoint(edges)
     taken = None
-    for _ in range(ROUNDS):
+    while True:  # every round takes a mention at least
         m, k = Window.partitionBy("source_ref", "mention"), Window.partitionBy("source_ref", "normalized_tag")
         clear = (
             left.withColumn("_mr", F.row_number().over(m.orderBy(F.desc("score"), "normalized_tag")))
