@@ -6,36 +6,71 @@ from tremor.functions import names
 from tremor.operators import alarms, chains, crosswalk, findings, inventory, ordered, signals
 
 
-def test_findings_share_the_mass():
-    book = findings.RuleBook()
-    got = [(r[6], r[7]) for r in book.judge("-Desequilibrio del ventilador. -Debilidad estructural.")]
-    assert got == [("GT001v2", 0.5), ("GT005", 0.5)]
-    assert book.judge("Máquina parada") == [] and book.judge(None) == [] and book.judge("ALERTA") == []
-    three = book.judge("Desequilibrio. Algo raro. Otra cosa rara")
-    assert [(r[4], r[7]) for r in three] == [("IMBALANCE", 0.333333), ("UNMAPPED", 0.666667)] and sum(r[7] for r in three) <= 1
-    assert [r[6] for r in book.judge("Se aprecia buen estado de lubricación de los rodamientos")] == []
-    assert [r[6] for r in book.judge("Excentricidad en polea")] == ["GT025"]
+def judged(spark, text, **more):
+    df = spark.createDataFrame([(text,)], "t string")
+    return [tuple(r) for r in findings.map_findings(df, [], "t", **more).orderBy("finding_index").select("fault_group", "mapping_rule", "weight").collect()]
 
 
-def test_status():
-    book = findings.RuleBook()
-    assert book.status("Rodamientos en buen estado. Máquina parada.") == ("STOPPED", None)
-    assert book.status("Rodamientos en buen estado. Desequilibrio.") is None and book.status("") is None
-    assert findings.clauses("-Falta de rigidez -Rodamientos. ;  ") == ["Falta de rigidez", "Rodamientos"]
+def test_findings_share_the_mass(spark):
+    assert judged(spark, "-Desequilibrio del ventilador. -Debilidad estructural.") == [("IMBALANCE", "GT001v2", 0.5), ("STRUCTURE", "GT005", 0.5)]
+    for nothing in ("Máquina parada", None, "ALERTA", "", " . ; "):
+        assert judged(spark, nothing) == []
+    three = judged(spark, "Desequilibrio. Algo raro. Otra cosa rara")
+    assert three == [("IMBALANCE", "GT001v2", 0.333333), ("UNMAPPED", None, 0.666667)]
+    assert judged(spark, "Se aprecia buen estado de lubricación de los rodamientos") == []
+    assert [r[1] for r in judged(spark, "Excentricidad en polea")] == ["GT025"]
+    thirds = judged(spark, "Desequilibrio. Holgura y resonancia. Cavitación")
+    assert sum(round(r[2] * 1e6) for r in thirds) == 1_000_000 and [r[2] for r in thirds] == [0.333333, 0.166667, 0.166667, 0.333333]
 
 
-def test_audit_classes():
-    book = findings.RuleBook()
-    assert [book.audit_class(c) for c in ("Revisar todo", "holgura", "estable en el tiempo", "qué es esto")] == ["administrative_request", None, "healthy_or_stable", "insufficient_context"]
+def exact_weights(masses):
+    """Millionths by largest remainder, in whole numbers."""
+    floors = [m.numerator * 10**6 // m.denominator for m in masses]
+    order = sorted(range(len(masses)), key=lambda i: (floors[i] - m if (m := masses[i] * 10**6) else 0, i))
+    for i in order[: 10**6 - sum(floors)]:
+        floors[i] += 1
+    return [f / 10**6 for f in floors]
+
+
+def test_weights_against_fractions(spark):
+    from fractions import Fraction
+
+    names_ = {"Desequilibrio": 0, "Resonancia": 1, "Cavitación": 2, "Correa": 3, "Rareza": 4}
+    texts = [["Correa", "Resonancia", "Correa"], ["Rareza"] * 3 + ["Cavitación"] * 4, ["Desequilibrio", "Resonancia", "Cavitación", "Correa", "Rareza", "Rareza", "Correa"], ["Correa"] * 11 + ["Resonancia"] * 2]
+    df = spark.createDataFrame([(i, ". ".join(t)) for i, t in enumerate(texts)], "i int, t string")
+    got = findings.map_findings(df, ["i"], "t").orderBy("i", "finding_index").collect()
+    for i, t in enumerate(texts):
+        masses = [Fraction(t.count(n), len(t)) for n in names_ if n in t]
+        assert [r["weight"] for r in got if r["i"] == i] == exact_weights(masses)
+
+
+def test_status(spark):
+    df = spark.createDataFrame([(1, "Rodamientos en buen estado. Máquina parada."), (2, "Rodamientos en buen estado. Desequilibrio."), (3, ""), (4, None), (5, "Máquina en buen estado")], "i int, t string")
+    status, alarm = findings.text_status(F.col("t"))
+    assert [tuple(r) for r in df.select(status, alarm).collect()] == [("STOPPED", None), (None, None), (None, None), (None, None), ("OK", 0)]
+    one = spark.createDataFrame([("-Falta de rigidez -Rodamientos. ;  ",)], "t string")
+    assert one.select(findings.clauses(F.col("t"))).first()[0] == ["Falta de rigidez", "Rodamientos"]
+
+
+def test_audit_classes(spark):
+    df = spark.createDataFrame([(c,) for c in ("Revisar todo", "holgura", "estable en el tiempo", "qué es esto", "Informar a Ana", "Informar a nadie")], "c string")
+    read = df.select(findings.Rules().read(F.col("c")).alias("r"))
+    plain = ["administrative_request", None, "healthy_or_stable", "insufficient_context", "insufficient_context", "insufficient_context"]
+    assert [r[0] for r in read.select(findings.audit_class(F.col("r"))).collect()] == plain
+    assert [r[0] for r in read.select(findings.audit_class(F.col("r"), ["Ana"])).collect()] == [*plain[:4], "administrative_request", "insufficient_context"]
+    assert rows(findings.unmapped_audit(df, "c").select("cls", "clauses")) == [("administrative_request", 1), ("insufficient_context", 3)]
+
+
+def test_rule_trace(spark):
+    df = spark.createDataFrame([(1, "Buena lubricación. Excentricidad en polea"), (2, None)], "i int, t string")
+    got = rows(findings.Rules().trace(df, ["i"], "t").select("place", "rule", "matched", "vetoed"))
+    assert got == [(0, "GT011v2", "lubricaci", True), (1, "GT021v2", "excentricidad", True), (1, "GT025", "excentricidad en polea", False)]
 
 
 def test_map_findings(spark):
     df = spark.createDataFrame([(1, "Holgura. Cavitación"), (2, None), (3, "Holgura. Cavitación"), (4, "")], "id long, t string")
     assert rows(findings.map_findings(df, ["id"], "t").select("id", "mapping_rule", "weight")) == [(1, "GT004v2", 0.5), (1, "GT015", 0.5), (3, "GT004v2", 0.5), (3, "GT015", 0.5)]
-    judged = spark.createDataFrame([("Holgura. Cavitación", "FLOW", "CAVITATION", 3.0), ("Holgura. Cavitación", "LOOSENESS", "LOOSENESS", 1.0), ("never", "X", None, 1.0)], "text string, fault_group string, fault_mode string, score double")
-    f = findings.map_findings(df, ["id"], "t")
-    assert {(r["mapping_rule"], r["weight"]) for r in findings.reweighted(f, judged).collect()} == {("GT004v2", 0.25), ("GT015", 0.75)}
-    assert rows(findings.unused_judgements(f, judged)) == [("never",)]
+    assert findings.map_findings(df.limit(0), ["id"], "t").count() == 0
 
 
 def test_census(spark):
