@@ -82,11 +82,18 @@ def test_census(spark):
     ("name", "location", "direction", "component", "acquisition"),
     [("MOTOR LA HORIZONTAL", "DE", "H", "motor", None), ("Bomba Lado Libre Vert (HF)", "NDE", "V", "pump", "high_frequency"), ("Reductor LOA LA axial", None, "A", "gearbox", None), ("", None, None, None, None), ("VENTILADOR LCA PEAKVUE", "NDE", None, "fan", "peakvue")],
 )
-def test_point_names(name, location, direction, component, acquisition):
-    e = names.read_point_name(name)
+def test_point_names(spark, name, location, direction, component, acquisition):
+    e = names.evidence(spark.createDataFrame([(name,)], "n string"), [], "n").first()
     assert (e["location"], e["direction"], e["component"], e["acquisition"]) == (location, direction, component, acquisition)
 
 
+def test_point_name_trace_and_base(spark):
+    df = spark.createDataFrame([("Bómba L.O. LA Horiz. PEAKVUE 500 Hz (HF)",), (None,), ("MOTOR LADO LIBRE",)], "n string")
+    got = names.evidence(df, [], "n").collect()
+    assert [g["base"] for g in got] == ["bomba l o", "", "motor"]
+    assert ("location", "DE", "la") in {tuple(t) for t in got[0]["trace"]} and got[0]["acquisition_status"] == "ambiguous" and got[1]["trace"] == []
+
+
 def test_names(spark):
     assert [names.file_name(x) for x in ("EXTRACCIÓN / 2", "", None, "é" * 100, "__a--b__")] == ["EXTRACCION_2", "unnamed", "unnamed", "e" * 64, "a_b"]
     df = spark.createDataFrame([(1, 1, "A"), (1, 2, "A"), (1, 3, "A_1"), (2, 1, "A")], "g long, o long, n string")
@@ -100,6 +107,12 @@ def test_siblings(spark):
     assert rows(names.sibling_directions(e, ["g"], "name").select("g", "name", "proposed")) == [("m", "MOTOR LA", "H")]
 
 
+def test_folding(spark):
+    df = spark.createDataFrame([("ñú-ő ①ﬁ 7",), ("Area de Carga",), (None,)], "t string")
+    assert [r[0] for r in df.select(crosswalk.plain(F.col("t"))).collect()] == ["NUO1FI7", "AREADECARGA", None]
+    assert [r[0] for r in df.select(crosswalk.area_key(F.col("t"))).collect()] == ["NUO1FI7", "AREACARGA", ""]
+
+
 def test_crosswalk(spark):
     tags = spark.createDataFrame([("AG100",), ("P7",), ("XY9",), ("AG10",), ("Q1",)], "tag string")
     ids = spark.createDataFrame([("MEZCLADOR_AG_100",), ("P7_BOMBA",), ("ZXY9Z",), ("P7_OTRA",)], "machine_id string")

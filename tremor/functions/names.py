@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
 #: How point names spell side, direction, component and acquisition.
 SIDES = {"la": "DE", "loa": "NDE", "lca": "NDE"}
@@ -29,13 +29,16 @@ ACQUISITION_END = (
 )
 MAX_NAME = 64
 
-_SIDE_PHRASES = [(re.compile(p), v) for p, v in SIDE_PHRASES]
-_ACQUISITIONS = [(re.compile(p), v) for p, v in ACQUISITIONS]
-_ACQUISITION_END = re.compile(ACQUISITION_END)
+
+@F.pandas_udf(StringType())
+def _decomposed(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFKD").str.replace("[\u0300-\u036f]", "", regex=True)
 
 
-def without_accents(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+def without_accents(text: Column) -> Column:
+    """Compatibility forms decomposed and combining marks dropped; only texts beyond ASCII leave the JVM."""
+    plain = text.rlike(r"^\p{ASCII}*$")
+    return F.when(plain, text).otherwise(_decomposed(F.when(~plain, text)))
 
 
 def file_name(text: str | None) -> str:
@@ -80,52 +83,56 @@ def distinct_names(df: DataFrame, group: list[str], order: list[str], name: str,
     return df.select(*columns).groupBy(*group).applyInPandas(fold, schema)
 
 
-def declared(values: set[str]) -> tuple[str | None, str]:
-    """The one value declared, and whether it is derived, ambiguous or absent."""
-    return (next(iter(values)), "derived") if len(values) == 1 else (None, "ambiguous" if values else "absent")
+FIELDS = ("location", "direction", "component", "acquisition")
+_EVIDENCE = "array<struct<field:string,value:string,rule:string>>"
+
 
+def _hits(low: Column, tokens: Column) -> Column:
+    """Array of what a name declares, each with the rule that says so: (field, value, rule)."""
+    entry = lambda field, value, rule: F.struct(F.lit(field).alias("field"), value.alias("value"), rule.alias("rule"))
 
-def read_point_name(name: str | None) -> dict[str, str | None]:
-    """Side, direction, component and acquisition that a point name declares, each with its status."""
-    low = without_accents(name or "").lower()
-    tokens = [t for t in re.split(r"[^0-9A-Za-z]+", low) if t]
-    found = {
-        "location": {SIDES[t] for t in tokens if t in SIDES} | {v for p, v in _SIDE_PHRASES if p.search(low)},
-        "direction": {v for t in tokens for p, v in DIRECTIONS if t.startswith(p)},
-        "component": {COMPONENTS[t] for t in tokens if t in COMPONENTS},
-        "acquisition": {v for p, v in _ACQUISITIONS if p.search(low)},
-    }
-    out: dict[str, str | None] = {}
-    for field, values in found.items():
-        out[field], out[f"{field}_status"] = declared(values)
-    out["base"] = position_base(low)
-    return out
+    def listed(field: str, words: dict[str, str]) -> Column:
+        known = F.create_map(*[F.lit(x) for kv in words.items() for x in kv])
+        return F.transform(F.filter(tokens, lambda t: t.isin(*words)), lambda t: entry(field, F.try_element_at(known, t), t))
 
+    def begun(field: str, stem: str, value: str) -> Column:
+        return F.transform(F.filter(tokens, lambda t: F.startswith(t, F.lit(stem))), lambda t: entry(field, F.lit(value), t))
 
-def position_base(low: str) -> str:
-    """What is left of a normalised name without acquisition suffixes, side and direction."""
-    text, before = low.strip(), None
-    while text != before:
-        before, text = text, _ACQUISITION_END.sub("", text).strip()
-    text = " ".join(t for t in re.split(r"[^0-9A-Za-z]+", text) if t)
-    for pattern, _ in _SIDE_PHRASES:
-        text = pattern.sub(" ", text)
-    return " ".join(t for t in text.split() if t not in SIDES and not any(t.startswith(p) for p, _ in DIRECTIONS))
+    def matched(field: str, patterns: list[tuple[str, str]]) -> Column:
+        return F.filter(F.array(*[F.when(low.rlike(p), entry(field, F.lit(v), F.lit(p))) for p, v in patterns]), lambda h: h.isNotNull())
 
+    return F.concat(
+        listed("location", SIDES), matched("location", SIDE_PHRASES), *[begun("direction", *d) for d in DIRECTIONS],
+        listed("component", COMPONENTS), matched("acquisition", ACQUISITIONS),
+    ).cast(_EVIDENCE)
 
-_EVIDENCE = [f"{field}{end}" for field in ("location", "direction", "component", "acquisition") for end in ("", "_status")] + ["base"]
 
-_EVIDENCE_TYPE = StructType([StructField(name, StringType()) for name in _EVIDENCE])
+def position_base(low: Column) -> Column:
+    """What is left of a folded name without acquisition suffixes, side and direction: its position on the machine."""
+    bare = F.regexp_replace(low, rf"(?:{ACQUISITION_END[:-1]})+$", "")
+    text = F.array_join(_tokens(bare), " ")
+    for phrase, _ in SIDE_PHRASES:
+        text = F.regexp_replace(text, phrase, " ")
+    stems = "|".join(stem for stem, _ in DIRECTIONS)
+    return F.array_join(F.filter(F.split(text, " +"), lambda t: (t != "") & ~t.isin(*SIDES) & ~t.rlike(f"^(?:{stems})")), " ")
 
 
-@F.pandas_udf(_EVIDENCE_TYPE)
-def point_name_evidence(names: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_point_name(n) for n in names], columns=_EVIDENCE)
+def _tokens(low: Column) -> Column:
+    return F.filter(F.split(low, "[^0-9A-Za-z]+"), lambda t: t != "")
 
 
 def evidence(df: DataFrame, keep: list[str], name: str) -> DataFrame:
-    """Points with the evidence of their names as columns."""
-    return df.select(*keep, name, point_name_evidence(F.col(name)).alias("e")).select(*keep, name, "e.*")
+    """Points with what their names declare: each field with its status, the position's base and the trace of rules.
+
+    One value is ``derived``, several are ``ambiguous`` (the field is null), none ``absent``.
+    """
+    folded = df.select(*keep, name, F.trim(F.lower(without_accents(F.coalesce(name, F.lit(""))))).alias("_low"))
+    traced = folded.withColumn("trace", _hits(F.col("_low"), _tokens(F.col("_low"))))
+    values = lambda field: F.array_distinct(F.transform(F.filter("trace", lambda h: h["field"] == field), lambda h: h["value"]))
+    told = traced.select(*keep, name, "_low", "trace", *[values(f).alias(f"_{f}") for f in FIELDS])
+    one = lambda f: F.when(F.size(f"_{f}") == 1, F.get(f"_{f}", F.lit(0)))
+    status = lambda f: F.when(F.size(f"_{f}") == 1, "derived").when(F.size(f"_{f}") > 1, "ambiguous").otherwise("absent")
+    return told.select(*keep, name, *[c for f in FIELDS for c in (one(f).alias(f), status(f).alias(f"{f}_status"))], position_base(F.col("_low")).alias("base"), "trace")
 
 
 def sibling_directions(named: DataFrame, group: list[str], name: str) -> DataFrame:
@@ -145,8 +152,7 @@ def sibling_directions(named: DataFrame, group: list[str], name: str) -> DataFra
 
 def name_audit(named: DataFrame, weight: Column) -> DataFrame:
     """Weighted counts per field, status and value."""
-    fields = ("location", "direction", "component", "acquisition")
-    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_status").alias("status"), F.col(f).alias("value")) for f in fields])
+    rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_status").alias("status"), F.col(f).alias("value")) for f in FIELDS])
     return named.select(weight.alias("w"), F.inline(rows)).groupBy("field", "status", "value").agg(F.sum("w").alias("points"))
 
 

@@ -11,13 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.functions.names import without_accents
+
 #: Tiers from strong to weak with their rules. Fixed values.
 TIERS = {"exact_suffix": "CW001", "delimited": "CW002", "substring": "CW003"}
 
 
 def plain(text: Column) -> Column:
-    """Upper case, Spanish accents dropped, letters and digits only."""
-    return F.regexp_replace(F.translate(F.upper(text), "ÁÉÍÓÚÜÑÀÈÌÒÙÇ", "AEIOUUNAEIOUC"), "[^A-Z0-9]", "")
+    """Upper case, accents and compatibility forms folded, letters and digits only."""
+    return _bare(without_accents(text))
+
+
+def _bare(text: Column) -> Column:
+    return F.regexp_replace(F.upper(text), "[^A-Z0-9]", "")
+
+
+def area_key(area: Column) -> Column:
+    """Folded area name without ``DE``: two spellings of one area share it."""
+    return F.replace(plain(F.coalesce(area, F.lit(""))), F.lit("DE"), F.lit(""))
 
 
 def lookup(df: DataFrame, crosswalk: DataFrame, tag: str, own: str, out: str) -> DataFrame:
@@ -34,7 +45,7 @@ def lookup(df: DataFrame, crosswalk: DataFrame, tag: str, own: str, out: str) ->
 
 def candidates(tags: DataFrame, ids: DataFrame) -> DataFrame:
     """(tag, machine_id, tier) for ``tags(tag)`` and ``ids(machine_id)``, each id's best tier for a tag."""
-    words = F.transform(F.filter(F.split("machine_id", "[^A-Za-z0-9]+"), lambda w: w != ""), plain)
+    words = F.transform(F.filter(F.split("machine_id", "[^A-Za-z0-9]+"), lambda w: w != ""), lambda w: _bare(w))
     split = ids.select("machine_id", words.alias("w"))
     n = F.size("w")
     runs = split.select(
