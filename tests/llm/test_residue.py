@@ -72,30 +72,28 @@ def test_simhash_is_near_for_near_texts():
     assert len(residue.simhashes([])) == 0 and len(residue.simhashes(["", "one"])) == 2
 
 
-def test_near_classes_against_brute_force(spark):
-    words = [f"w{i}" for i in range(120)]
-    texts = []
-    for k in range(6):
-        t = [f"{w}{k // 2}" for w in words]
-        t[60] = f"x{k}"
-        texts.append(" ".join(t))
+def of_texts(spark, texts):
     sims = residue.simhashes(texts)
-    classes = spark.createDataFrame([(i, t, int(s)) for i, (t, s) in enumerate(zip(texts, sims, strict=True))], "class long, core string, sim long")
-    want = set()
-    for i in range(6):
-        for j in range(i + 1, 6):
-            s, t = residue.shingles(texts[i]), residue.shingles(texts[j])
-            apart = bin((int(sims[i]) ^ int(sims[j])) & (2**64 - 1)).count("1")
-            if len(s & t) >= 0.8 * len(s | t) and apart <= residue.HAMMING:
-                want.add((i, j))
-    assert want and {(r["a"], r["b"]) for r in residue.near_classes(classes).collect()} == want
-
-
-def test_all_alike_classes_are_linked(spark):
-    """Links are all pairs of the similarity, also those whose hashes lie far apart."""
+    return spark.createDataFrame([(i, t, int(s)) for i, (t, s) in enumerate(zip(texts, sims, strict=True))], "class long, core string, sim long")
+
+
+def alike_by_brute_force(texts):
+    sets = [residue.shingles(t) for t in texts]
+    return {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+
+
+def components_of(n, links):
+    of = list(range(n))
+    for _ in range(n):
+        for a, b in links:
+            of[a] = of[b] = min(of[a], of[b])
+    return of
+
+
+def varied_texts(seed):
     import random
 
-    rng = random.Random(2)
+    rng = random.Random(seed)
     texts = []
     for k in range(12):
         base = [f"w{rng.randrange(400)}" for _ in range(rng.choice([5, 9, 30, 80, 120]))]
@@ -105,29 +103,34 @@ def test_all_alike_classes_are_linked(spark):
             for _ in range(rng.randrange(1, 4)):
                 t[rng.randrange(len(t))] = f"x{k}"
             texts.append(t + [f"y{k}"] * rng.randrange(3))
-    texts = sorted({" ".join(t) for t in texts}) + ["", "one", "one two", "a b c d e " * 3, "a b c d e " * 4]
-    sims = residue.simhashes(texts)
-    classes = spark.createDataFrame([(i, t, int(s)) for i, (t, s) in enumerate(zip(texts, sims, strict=True))], "class long, core string, sim long")
-    sets = [residue.shingles(t) for t in texts]
-    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
-    far = {(i, j) for i, j in want if bin((int(sims[i]) ^ int(sims[j])) & (2**64 - 1)).count("1") > residue.HAMMING}
-    assert far and {(r["a"], r["b"]) for r in residue.near_classes(classes).collect()} == want
+    return sorted({" ".join(t) for t in texts}) + ["", "one", "one two", "a b c d e " * 3, "a b c d e " * 4]
 
 
-def test_every_pair_within_the_distance_shares_a_table(spark):
-    import random
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_against_brute_force(spark, seed):
+    """All pairs of Jaccard 0.8 are in one component, also those whose hashes lie far apart; nothing else is."""
+    texts = varied_texts(seed)
+    classes = of_texts(spark, texts)
+    want = alike_by_brute_force(texts)
+    found = {(r["a"], r["b"]) for r in residue.alike_pairs(residue.table_pairs(classes), classes).collect()}
+    assert found and found < want  # the tables alone lose links
+    got = dict((r["class"], r["component"]) for r in residue.near_components(classes).collect())
+    assert [got[i] for i in range(len(texts))] == components_of(len(texts), want)
+
+
+def test_a_cluster_makes_candidates_in_proportion(spark):
+    """Of many near copies each meets its neighbours only, and all end in one component."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(0, 200, 2)]
+    classes = of_texts(spark, texts)
+    assert residue.table_pairs(classes).count() <= residue.TABLES * residue.NEIGHBOURS * len(texts)
+    assert residue.near_components(classes).select("component").distinct().count() == 1
+
 
-    rng = random.Random(1)
-    base = rng.getrandbits(64)
-    sims = [base]
-    for _ in range(30):
-        x = base
-        for bit in rng.sample(range(64), residue.HAMMING):
-            x ^= 1 << bit
-        sims.append(x)
-    signed = [s - 2**64 if s >= 2**63 else s for s in sims]
-    classes = spark.createDataFrame([(i, "same words in all of them here", s) for i, s in enumerate(signed)], "class long, core string, sim long")
-    assert {(r["a"], r["b"]) for r in residue.near_classes(classes).where("a = 0").collect()} == {(0, i) for i in range(1, 31)}
+def test_near_hashes_are_neighbours(spark):
+    sims = [5, 5 ^ (1 << 60), 5 ^ (1 << 3), -1, 0x7000000000000000]
+    classes = spark.createDataFrame([(i, f"t{i}", s) for i, s in enumerate(sims)], "class long, core string, sim long")
+    assert {(r["a"], r["b"]) for r in residue.table_pairs(classes).collect()} == {(0, 1), (0, 2), (1, 2), (1, 4), (0, 4), (2, 4)}
 
 
 def test_components(spark):
@@ -150,11 +153,28 @@ def test_documents(spark):
 
 
 def test_labels_spread_through_near_copies(spark):
-    """A text that no rule reads is residue if it is nearly one that is."""
-    known = "the viewer is closed now and will open again soon please come back to this place once more dear guest of ours " * 2
-    docs = spark.createDataFrame([(1, "error " + known), (2, "gloom " + known)], "doc_id long, text string")
-    a, b = read_document("error " + known), read_document("gloom " + known)
-    if a[1] == "message" and b[1] is None and b[2]:
-        links = residue.simhashes([a[0], b[0]])
-        near = bin((int(links[0]) ^ int(links[1])) & (2**64 - 1)).count("1") <= residue.HAMMING
-        assert ({r["doc_id"] for r in residue.residue_documents(docs).collect()} == {1, 2}) == near
+    """A text that no rule reads is residue if it is nearly one that is, over several steps too."""
+    known = "the page is closed now and will open again soon please come back to this place once more dear guest of ours so long".split()
+    told = [f"The server said {k}." for k in ("no", "never", "maybe", "what")]
+    message = " ".join([*told, "Error on the server: " + " ".join(known), "and so on until the server is available again."])
+    steps = [message]
+    for k, word in enumerate(("guest", "dear", "once")):
+        steps.append(steps[-1].replace(word, f"gloom{k}") if k else steps[-1].replace("again.", "again. We wish all of our friends joy."))
+    steps += ["We wish all of our friends joy. " + " ".join(known), "Bearing 6204 shows impacts at 120.5 Hz and 3 mm/s."]
+    reads = [read_document(t) for t in steps]
+    assert reads[0][1] == "message" and [r[1:] for r in reads[1:5]] == [(None, True)] * 4
+    docs = spark.createDataFrame(list(enumerate([*steps, steps[1]])), "doc_id long, text string")
+    got = {r["doc_id"]: (r["reason"], r["via"]) for r in residue.residue_documents(docs).collect()}
+    assert got == {0: ("message", "text"), **dict.fromkeys((1, 2, 3, 6), ("message", "link"))}
+    alone = residue.residue_documents(docs.where("doc_id > 0"))
+    assert alone.count() == 0  # without the trusted text nothing spreads
+
+
+def test_clean_corpus_keeps_other_rows_of_an_id(spark):
+    docs = spark.createDataFrame([(1, "404 Bad Gateway", "x"), (1, CONTENT, "y"), (1, None, "z"), (2, CONTENT, None)], "doc_id long, text string, _extra string")
+    assert sorted((r["doc_id"], r["_extra"] or "") for r in residue.clean_corpus(docs).collect()) == [(1, "y"), (1, "z"), (2, "")]
+
+
+def test_a_table_repeats_words_but_not_figures():
+    table = "Casing axial {} watch\n"
+    assert read_document("".join(table.format(i / 7) for i in range(20)))[1] is None and read_document(table.format(2) * 20)[1] == "padding"

@@ -1,27 +1,31 @@
 """Template residue, padding and messages that stand where a report should be.
 
-Method: near-duplicate classes of document cores are found with partitioned SimHash
-tables and, for the pairs whose hashes lie further apart, by the rarest shingles of
-each core; all are verified by the Jaccard similarity of their five-word shingles;
-residue labels that are trusted from the text itself are propagated through
-the connected components; an exact check of each document's own text follows.
+Method: near-duplicates among the documents' cores are found with partitioned SimHash
+tables and verified by Hamming distance and by the Jaccard similarity of their
+five-word shingles; residue labels that are trusted from a text itself are propagated
+through the connected components; an exact check of each document's own text follows.
 
 The core of a document is its text without header lines, navigation, mark-up, ids and
 decoration, with figures and template fields replaced by one sign. Documents of one
 core are one node of the graph.
 
-Scale: one narrow pass reads every whole text and keeps a 64-bit class, a SimHash and
-flags; only cores that can be residue at all (they hold a field, or hold no measured
-content) go on, once per class with a map-side combine. The tables are keyed by pairs
-of the hash's eight bytes, so every two hashes up to six bits apart share a bucket and
-buckets are small. Two cores of the least similarity share one of their rarest
-shingles, a fifth of each core, so frequent shingles are hardly ever keys. Links are
-stored, components and labels stay distributed.
+The hashes of two texts of Jaccard 0.8 differ in nine or ten of 64 bits on average, so
+tables of near hashes alone lose most such links. Therefore a second pass joins on the
+rarest shingles of each core, where every pair of the similarity must meet, and looks
+only between components that the tables left apart. Together they give exactly the
+components of all pairs of Jaccard 0.8.
+
+Scale: one narrow pass reads every whole text and keeps a core, a SimHash and flags;
+cores that can be residue at all (they hold a field, or less than two whole sentences
+of measured content) go on, once per class with a map-side combine. A table is the
+hashes in the order of a rotation, cut by their first bits; each hash meets its next
+neighbours only, so candidates grow in proportion to the classes, however alike they
+are. In the second pass a cluster of near copies is one component and makes no pairs.
+Links are stored, components and labels stay distributed.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -36,8 +40,8 @@ from tremor.session import checkpoint
 SHINGLE = 5
 SIMILARITY = 0.8
 HAMMING = 6
-#: Repeated words are padding in texts of more words only if their figures repeat too: a long table repeats its words.
-TABLE = 240
+#: Tables (rotations of the hash by a byte each) and the neighbours that a hash meets in each.
+TABLES, NEIGHBOURS = 8, 4
 
 _ASK = (
     r"tbd|to ?do|fill in|insert(?:ar)?|enter|complete|por completar|completar|rellenar|à compl[ée]ter|compl[ée]ter|remplir|ins[ée]rer|saisir"
@@ -104,6 +108,7 @@ _MAY_MARK = re.compile(r"[{<«]|\$\{|%[A-Z]|#[A-Z]|@@|__|\[[A-Za-zà]|undefined|
 _TRACE = re.compile(r"^\s*(?:unhandled exception\b|traceback \(|caused by:|at [\w.$]+\(|file \"[^\"]+\", line \d|[\w.]+ = \w|\w*(?:error|exception): )", re.I)
 _HIDDEN = re.compile("[\u200b\u200c\u200d\u2060\ufeff\u00ad]")
 _SENTENCE_END = re.compile(r"(?<=[.!?])(?=\s)|\n")
+_FIGURE = re.compile(r"\d+(?:[.,]\d+)*")
 _HEX = re.compile(r"\b(?=[0-9a-f]*\d)(?=[0-9]*[a-f])[0-9a-f]{7,}\b")
 #: Ids and marks beside a message, and letters of other scripts, that say nothing here.
 _BESIDE = re.compile(r"\(\s*ref\b[^()\n]*\)|\(code \d+\)|\brequest id:? \w+|[\u2e80-\u9fff\uac00-\ud7af\u3040-\u30ff\uff00-\uffef]+", re.I)
@@ -170,17 +175,10 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
     marks = fields_of(text) if not dump and _MAY_MARK.search(text) else []
     low = text.lower()
     asks = any(p in low for p in _PROMPT_PARTS) and bool(PROMPT.search(text))
-    varied = False
     if not marks and not asks:
-        whole = 0
-        for sentence in _SENTENCE_END.split(low):
-            whole += sentence.endswith((".", "!", "?")) and bool(MEASURED.search(sentence))
-            if whole > 1:
-                return "", None, False  # two whole sentences of measured content
-        words = text.split()
-        if len(words) > TABLE and len(set(words)) > len(words) // 12 and not _SAMPLE.search(text):
-            known = sum(1 for w in words if _FILLER.match(w))
-            varied = known < len(words) // 4 and bool(set("".join(words).lower()) - set("asdfghjklñ.,;:!?-"))
+        sentences = _SENTENCE_END.split(low)
+        if sum(1 for x in sentences if x.endswith((".", "!", "?")) and MEASURED.search(x)) > 1:
+            return "", None, False  # whole sentences of measured content: no message, no padding
     out, at = [], 0
     for m in marks:
         out.append(text[at : m.start()] + "□")
@@ -211,6 +209,8 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
     plain = [re.sub(r"[^\w\s□'’.,:;/%°\"-]+", " ", s) for s in sentences]
     plain = [s for s in plain if re.search(r"[^\W_]|□", s)]
     core = " ".join(plain)
+    # a table repeats its words, but not its figures
+    varied = len(set(_FIGURE.findall(core))) > max(2, len(core.split()) // 12)
     core = re.sub(r"\b(?=\w*\d)(?=\w*[a-z])[0-9a-f]{6,}\b", "#", core.lower())
     core = re.sub(r"\d+(?:[.,:/-]\d+)*", "#", core)
     core = " ".join(re.findall(r"[^\W_]+|[#□]", core))
@@ -287,32 +287,48 @@ def simhashes(cores: list[str]) -> np.ndarray:
 
 
 def read_documents(documents: DataFrame) -> DataFrame:
-    """(doc_id, core, label, sim) of the documents that can be residue.
+    """(doc_id, text_hash, core, label, sim) of the documents that can be residue.
 
-    Null, empty and blank texts and texts of content throughout don't come out.
+    Null, empty and blank texts, rows without an id and texts of content throughout
+    don't come out.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids, cores, labels = [], [], []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
+            rows, cores = [], []
+            for doc_id, text_hash, text in zip(b["doc_id"], b["text_hash"], b["text"], strict=True):
                 core, label, may = read_document(text)
                 if may:
-                    ids.append(doc_id)
+                    rows.append((doc_id, text_hash, label))
                     cores.append(core)
-                    labels.append(label)
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "core": pd.Series(cores, dtype=object),
+            ids, hashes, labels = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "text_hash": pd.Series(hashes, dtype="int64"), "core": pd.Series(cores, dtype=object),
                                 "label": pd.Series(labels, dtype=object), "sim": simhashes(cores)})
 
-    texts = documents.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\S")).select("doc_id", "text")
-    return texts.mapInPandas(read, "doc_id long, core string, label string, sim long")
+    texts = documents.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\S")).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return texts.mapInPandas(read, "doc_id long, text_hash long, core string, label string, sim long")
 
 
-def rare_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that can be alike, all that are alike among them.
+def table_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that are neighbours in a SimHash table and at most ``HAMMING`` bits apart.
+
+    A table is a rotation of the hashes by whole bytes, cut by its first two bytes and
+    sorted; every hash meets its next ``NEIGHBOURS``.
+    """
+    rotated = lambda k: F.shiftleft("sim", 8 * k).bitwiseOR(F.shiftrightunsigned("sim", 64 - 8 * k)) if k else F.col("sim")
+    tables = classes.select("class", "sim", F.posexplode(F.array(*[rotated(k) for k in range(TABLES)])).alias("table", "turned"))
+    w = Window.partitionBy("table", F.shiftrightunsigned("turned", 48)).orderBy("turned", "class")
+    after = F.collect_list(F.struct("class", "sim")).over(w.rowsBetween(1, NEIGHBOURS))
+    met = tables.withColumn("after", after).select("class", "sim", F.explode("after").alias("o")).where(F.bit_count(F.col("sim").bitwiseXOR(F.col("o.sim"))) <= HAMMING)
+    return met.select(F.least("class", "o.class").alias("a"), F.greatest("class", "o.class").alias("b")).distinct()
+
+
+def rare_keys(classes: DataFrame) -> DataFrame:
+    """(class, s, n, least): the rarest shingles of each class, of which two alike classes must share one.
 
     Of n shingles alike texts share SIMILARITY * n at least, so one of the
     n - SIMILARITY * n + 1 first in any order that holds for all; here the rarest first.
+    Shingles of one class alone are no keys.
     """
 
     @F.pandas_udf("array<long>")
@@ -322,39 +338,30 @@ def rare_pairs(classes: DataFrame) -> DataFrame:
     each = checkpoint(classes.select("class", hashes("core").alias("s")).select("class", F.size("s").alias("n"), F.explode("s").alias("s")))
     often = each.groupBy("s").agg(F.count("*").alias("k"))
     least = F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-6)
-    first = (
+    return (
         each.join(often, "s")
         .withColumn("_r", F.row_number().over(Window.partitionBy("class").orderBy("k", "s")))
         .where((F.col("_r") <= F.col("n") - least + 1) & (F.col("k") > 1))
         .select("class", "s", "n", least.alias("least"))
     )
-    a, b = first.alias("a"), first.alias("b")
-    sizes = (F.col("a.n") >= F.col("b.least")) & (F.col("b.n") >= F.col("a.least"))
-    return a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.class") < F.col("b.class")) & sizes).select(
-        F.col("a.class").alias("a"), F.col("b.class").alias("b")
-    )
 
 
-def near_classes(classes: DataFrame) -> DataFrame:
-    """Links (a, b) between all classes whose texts are alike.
+def rare_pairs(classes: DataFrame, member: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components that share one of their rarest shingles and are of like size.
 
-    Candidates are the pairs of near SimHashes and those that share a rare shingle.
-    Two hashes up to six bits apart agree in two of their eight bytes at least; each
-    pair of bytes is a table.
+    A key that only one component has makes no pairs.
     """
-    byte = lambda i: F.shiftrightunsigned("sim", 8 * i).bitwiseAND(F.lit(255))
-    keys = F.array(*[
-        F.lit((i * 8 + j) << 16).bitwiseOR(F.shiftleft(byte(i), 8)).bitwiseOR(byte(j)) for i, j in itertools.combinations(range(8), 2)
-    ])
-    tables = classes.select("class", "sim", F.explode(keys).alias("key"))
-    a, b = tables.alias("a"), tables.alias("b")
-    pairs = (
-        a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.class") < F.col("b.class")))
-        .where(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING)
-        .select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
-        .unionByName(rare_pairs(classes))
-        .distinct()
-    )
+    keyed = rare_keys(classes).join(member, "class")
+    several = keyed.groupBy("s").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi").select("s")
+    keys = keyed.join(several, "s", "left_semi")
+    a, b = keys.alias("a"), keys.alias("b")
+    sizes = (F.col("a.n") >= F.col("b.least")) & (F.col("b.n") >= F.col("a.least"))
+    apart = (F.col("a.component") != F.col("b.component")) & (F.col("a.class") < F.col("b.class"))
+    return a.join(b, (F.col("a.s") == F.col("b.s")) & apart & sizes).select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+
+
+def alike_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose five-word shingles have the similarity."""
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -362,7 +369,7 @@ def near_classes(classes: DataFrame) -> DataFrame:
         for p, q in zip(x, y, strict=True):
             s, t = shingles(p), shingles(q)
             out.append(len(s & t) >= SIMILARITY * len(s | t))
-        return pd.Series(out)
+        return pd.Series(out, dtype=bool)
 
     text = classes.select("class", "core")
     return (
@@ -373,6 +380,14 @@ def near_classes(classes: DataFrame) -> DataFrame:
     )
 
 
+def near_components(classes: DataFrame) -> DataFrame:
+    """(class, component): the components of all pairs of classes of the similarity."""
+    tables = checkpoint(alike_pairs(table_pairs(classes), classes))
+    first = components(classes, tables)
+    rest = checkpoint(alike_pairs(rare_pairs(classes, first), classes))
+    return first if rest.isEmpty() else components(classes, tables.unionByName(rest))
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(class, component) by spreading the least id over links, with pointer jumping, until nothing changes."""
     both = checkpoint(links.union(links.select("b", "a")).toDF("a", "b"))
@@ -394,34 +409,36 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def residue_documents(documents: DataFrame) -> DataFrame:
-    """(doc_id, reason, component) of each document that is residue.
+    """(doc_id, text_hash, reason, component, via) of each document that is residue.
+
+    ``via`` tells how the label came: ``text`` from what the text itself says, ``copy``
+    or ``link`` from its component, where a copy has the core of a trusted text and a
+    link leads to one.
 
     Defined cases: null, empty and blank texts are none; repeated doc_ids come out
     once per row of residue; a document that only speaks of templates or errors
     within real content is none; dumps are none.
     """
     read = checkpoint(read_documents(documents).withColumn("class", F.xxhash64("core")))  # every text is read once
-    classes = read.groupBy("class").agg(F.max("core").alias("core"), F.max("sim").alias("sim"), F.max("label").alias("label"))
-    classes = checkpoint(classes)
-    links = near_classes(classes)
-    member = components(classes, links)
-    trusted = (
-        classes.where(F.col("label").isNotNull())
-        .join(member, "class")
-        .groupBy("component")
-        .agg(F.max(F.when(F.col("label") != "field", F.col("label"))).alias("whole"), F.max("label").alias("any"))
-    )
-    spread = member.join(trusted, "component")
+    whole = F.max(F.when(F.col("label") != "field", F.col("label")))
+    classes = checkpoint(read.groupBy("class").agg(F.max("core").alias("core"), F.max("sim").alias("sim"), whole.alias("whole")))
+    member = near_components(classes)
+    placed = classes.select("class", "whole").join(member, "class")
+    trusted = placed.groupBy("component").agg(F.max("whole").alias("spread"))
     # the exact check: a field must stand in the document itself; a message or padding must be all there is
     return (
-        read.select("doc_id", "class", "label")
-        .join(spread, "class")
-        .withColumn("reason", F.when(F.col("label") == "field", "field").otherwise(F.coalesce("label", "whole")))
+        read.select("doc_id", "text_hash", "class", "label")
+        .join(placed.join(trusted, "component"), "class")
+        .select(
+            "doc_id", "text_hash", F.coalesce("label", "spread").alias("reason"), "component",
+            F.when(F.col("label").isNotNull(), "text").when(F.col("whole").isNotNull(), "copy").otherwise("link").alias("via"),
+        )
         .where(F.col("reason").isNotNull())
-        .select("doc_id", "reason", "component")
-    )
+    )
 
 
 def clean_corpus(documents: DataFrame) -> DataFrame:
-    """The corpus without its residue, every other document as it is."""
-    return documents.join(residue_documents(documents).select("doc_id").distinct(), "doc_id", "left_anti")
+    """The corpus without its residue, every other document as it is: of a repeated doc_id only the texts that are residue go."""
+    found = residue_documents(documents).select("doc_id", F.col("text_hash").alias("_text_hash")).distinct()
+    hashed = documents.withColumn("_text_hash", F.xxhash64("text"))
+    return hashed.join(found, ["doc_id", "_text_hash"], "left_anti").select(*documents.columns)
