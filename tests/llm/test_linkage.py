@@ -42,6 +42,30 @@ def test_neighbours_settle_sisters(spark):
     assert {k: v[0] for k, v in link(spark, cells).items()} == {1: "BC1A", 2: "BC1B"}
 
 
+def test_reports_of_two_sites(spark):
+    """Mentions that name their own site are linked there, the others at the site of most."""
+    cells = [
+        (1, "r", "Norte Secado", "Bomba centrifuga agua caldera A", None, None, 1), (2, "r", "Norte Molienda", "Molino harina gruesa", None, None, 2),
+        (3, "r", "Sureste", "aceite crudo, molino", None, None, 3), (4, "r", None, "Bomba centrifuga agua caldera B", None, None, 4), (5, "r", None, "Bomba centrifuga aceite crudo", None, None, 5),
+    ]
+    assert {k: v[0] for k, v in link(spark, cells).items()} == {1: "BC1A", 2: "ML2", 3: "ML8", 4: "BC1B"}
+
+
+def test_ratings_alone_name_a_machine(spark):
+    """One word and a rating each way over the edge of its class are enough to meet."""
+    assert {k: v[0] for k, v in link(spark, [(1, "r", "Norte Refino", "Molino", 980.0, None, 1), (2, "s", "Norte Refino", "Molino", None, 11.3, 1)]).items()} == {1: "ML3", 2: "ML3"}
+
+
+def test_foreign_words_are_learned(spark):
+    services = ["AGUA CALDERA", "ACEITE TERMICO", "HARINA GRUESA", "GASES HORNO", "PULPA FINA"]
+    machines = [(f"ML{i}", f"MOLINO {s}", "NORTE SECADO", 1000.0, 10.0, None) for i, s in enumerate(services)] + [(f"SC{i}", f"SECADOR {s}", "NORTE SECADO", 1500.0, 20.0, None) for i, s in enumerate(services)]
+    cells = [(i, "r", "Norte Secado", f"Quern {s}", 1000.0, 10.0, i) for i, s in enumerate(services[:4])]
+    last = (9, "r", "Norte Secado", f"Quern {services[4]}", None, None, 9)
+    got = {k: v[0] for k, v in link(spark, [*cells, last], machines).items()}
+    assert got == {0: "ML0", 1: "ML1", 2: "ML2", 3: "ML3", 9: "ML4"}
+    assert link(spark, [last], machines) == {}  # nothing to learn from
+
+
 def test_claims_of_neighbours_move_scores(spark):
     """Neither mention is clear by itself; what the second claims with rare words settles the first."""
     edges = [("r", 1, "k1", 1.9, 0.2), ("r", 1, "k2", 2.0, 1.0), ("r", 2, "k1", 2.9, 1.0), ("r", 2, "k3", 2.7, 1.0), ("s", 1, "k1", 1.9, 0.2), ("s", 1, "k2", 2.0, 1.0)]

@@ -4,15 +4,20 @@ Method: collective graph linkage. Mentions (the rows of a status report) and mac
 are nodes; candidate edges come from rare attributes that both share, weighted by
 their rarity; meta-blocking drops the edges below the mean weight of their mention;
 the remaining scores are refined by what the neighbours in the same report show -
-the site all of them belong to, and their claims on machines by their own current
+the site that most of them name, and their claims on machines by their own current
 scores and rarities - until no score changes; then the clear best edges are taken one
 to one. Each match has a confidence.
 
-Scale: blocking keys are pairs of corrected words within a site, so blocks stay
-small even where one site or word holds a large share; edges are made by an equi-join
-on these keys and everything after is keyed by (report, mention) or (report,
-machine). Only the vocabulary of machine names goes to the driver, after a check of
-its size.
+Words are compared by the vocabulary of the machine list itself: exact, shortened or
+with a slip. What stands for a word without looking like it (another language, a
+house abbreviation) is learned from the mentions whose machine is clear without it,
+and all mentions are read anew with what was learned.
+
+Scale: blocking keys are pairs of attributes within a site, so blocks stay small even
+where one site or word holds a large share; edges are made by an equi-join on these
+keys and scored in the JVM; everything after is keyed by (report, mention) or (report,
+machine). Only the vocabulary of machine names and the learned words go to the driver,
+after a check of their size.
 """
 
 from __future__ import annotations
@@ -20,7 +25,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -31,21 +37,9 @@ from tremor.session import checkpoint
 
 VOCABULARY_LIMIT = 100_000
 
-#: Other words for machine types. Fixed values.
-SYNONYMS = {
-    "decanter": "decantadora", "bucket": "cangilones", "elevator": "elevador", "screw": "tornillo", "helicoidal": "tornillo",
-    "pump": "bomba", "bba": "bomba", "fan": "ventilador", "vtdor": "ventilador", "screen": "criba", "zaranda": "criba",
-    "crusher": "trituradora", "conveyor": "transportador", "cinta": "transportador", "transportadora": "transportador",
-    "dryer": "secador", "blower": "soplante", "soplador": "soplante", "press": "prensa", "cpsor": "compresor",
-    "compressor": "compresor", "mill": "molino", "agitator": "agitador", "removedor": "agitador", "extruder": "extrusora",
-}
-#: Other words for parts of a site. Fixed values.
-PARTS = {
-    "edar": "depuracion", "depuradora": "depuracion", "depurac": "depuracion", "exped": "expedicion", "cargadero": "expedicion",
-    "almacenes": "almacen", "silos": "almacen", "molido": "molienda", "molda": "molienda", "secadero": "secado",
-    "cald": "calderas", "caldera": "calderas", "ref": "refino", "refinado": "refino", "refineria": "refino", "extracc": "extraccion",
-}
 STOP = frozenset(("de", "del", "la", "el", "los", "no", "n", "num", "zona", "nd", "ver", "nota", "pl", "baja", "y", "d"))
+#: A foreign word is learned from so many machines, if so large a share of its clear mentions stand for the word.
+TAUGHT, AGREED = 3, 0.8
 MIN_SCORE = 1.0
 MARGIN = 0.25
 #: What a neighbour's full claim on a machine takes from the scores of the others there.
@@ -62,35 +56,44 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Corrector:
-    """Maps typed words to the vocabulary: exact, synonym, abbreviation, then one slip (two in long words)."""
+    """Maps typed words to the vocabulary: exact, learned, abbreviation, then one slip (two in long words)."""
 
-    def __init__(self, vocabulary: dict[str, int], synonyms: dict[str, str]) -> None:
+    def __init__(self, vocabulary: dict[str, int], learned: dict[str, str]) -> None:
         self.vocabulary = vocabulary
-        self.synonyms = {s: w for s, w in synonyms.items() if w in vocabulary}
+        self.learned = {s: w for s, w in learned.items() if w in vocabulary}
+        #: spellings by first letter and by length, each with the word it stands for
         self.by_first: dict[str, list[str]] = {}
+        self.by_length: dict[int, list[tuple[str, str]]] = {}
         for w in vocabulary:
             self.by_first.setdefault(w[0], []).append(w)
+        for s, w in [*((w, w) for w in vocabulary), *self.learned.items()]:
+            self.by_length.setdefault(len(s), []).append((s, w))
         self._seen: dict[str, str | None] = {}
 
     def word(self, token: str) -> str | None:
         if token in self.vocabulary:
             return token
-        if token in self.synonyms:
-            return self.synonyms[token]
+        if token in self.learned:
+            return self.learned[token]
         if len(token) < 3 or token in STOP:
             return None
         if token not in self._seen and len(self._seen) < 500_000:
             self._seen[token] = self._guess(token)
         return self._seen[token] if token in self._seen else self._guess(token)
 
+    def _around(self, n: int, by: int) -> Iterator[tuple[str, str]]:
+        for k in range(n - by, n + by + 1):
+            yield from self.by_length.get(k, ())
+
     def _guess(self, token: str) -> str | None:
         same = self.by_first.get(token[0], [])
         options = [(0.0, w) for w in same if w.startswith(token)]
-        options += [(1.0, s) for w in self.vocabulary if len(token) > 3 and one_slip(token, w) for s in (w,)]
-        options += [(1.0, s) for t, s in self.synonyms.items() if len(token) > 3 and one_slip(token, t)]
-        options += [(1.2, w) for w in same if len(token) > 3 and any(one_slip(token, w[:n]) for n in (len(token) - 1, len(token), len(token) + 1))]
+        if len(token) > 3:
+            options += [(1.0, w) for s, w in self._around(len(token), 1) if one_slip(token, s)]
+            options += [(1.2, w) for w in same if any(one_slip(token, w[:n]) for n in (len(token) - 1, len(token), len(token) + 1))]
         options += [(1.5 if len(token) > 3 else 1.6, w) for w in same if shortens(token, w) and not set(token[1:]) & set("aeiou")]
-        options += [(2.0, w) for w in self.vocabulary if len(token) > 6 and len(w) > 6 and two_slips(token, w)]
+        if len(token) > 6:
+            options += [(2.0, w) for s, w in self._around(len(token), 2) if len(s) > 6 and s == w and two_slips(token, s)]
         if not options:
             return None
         # the least supposition; of equals the one of like length, then the more frequent, then the first
@@ -127,22 +130,44 @@ def sister_letter(name: str | None) -> str | None:
 _CORRECTORS: dict[tuple, Corrector] = {}
 
 
-def shared_corrector(vocabulary: tuple, synonyms: tuple) -> Corrector:
+def shared_corrector(vocabulary: tuple, learned: tuple) -> Corrector:
     """The process' corrector for a vocabulary; only the latest few vocabularies are kept."""
-    key = (vocabulary, synonyms)
+    key = (vocabulary, learned)
     if key not in _CORRECTORS:
         if len(_CORRECTORS) > 7:
             _CORRECTORS.clear()
-        _CORRECTORS[key] = Corrector(dict(vocabulary), dict(synonyms))
+        _CORRECTORS[key] = Corrector(dict(vocabulary), dict(learned))
     return _CORRECTORS[key]
 
 
-_FEATURES = "words array<string>, part string, letter string, tokens array<string>"
+@dataclass(frozen=True)
+class Lexicon:
+    """The words of the machine list: how often each names a machine, the words of types and of parts of sites."""
+
+    count: dict[str, int]
+    parts: dict[str, int]
+    #: tag prefix -> the words that its machines share, the noun first
+    types: dict[str, list[str]]
+
+    def rarity(self, word: str) -> float:
+        return math.log(1 + (sum(self.count.values()) or 1) / self.count.get(word, 1))
+
 
+_FEATURES = "free array<struct<w:string,x:double>>, typed array<string>, main boolean, part string, letter string, tokens array<string>, exact array<string>, foreign array<string>, elsewhere array<string>"
 
-def _features(text: Column, area: Column, count: dict[str, int], part_count: dict[str, int]) -> Column:
-    """Corrected words of a name, the part of the site, the sister letter and the bare tokens."""
-    made_of = [(tuple(sorted(c.items())), tuple(sorted(s.items()))) for c, s in ((count, SYNONYMS), (part_count, PARTS))]
+
+def _features(text: Column, area: Column, lexicon: Lexicon, learned: dict[str, str], learned_parts: dict[str, str]) -> Column:
+    """What a name and an area say.
+
+    ``free``: words with their rarity, without those of types (``typed``; ``main``: a
+    noun of any type is said); ``part`` of the site; sister ``letter``; bare ``tokens``;
+    ``exact``: the words of the list as they stand; ``foreign`` and ``elsewhere``: the
+    tokens of name and area that aren't such words.
+    """
+    made_of = [(tuple(sorted(c.items())), tuple(sorted(s.items()))) for c, s in ((lexicon.count, learned), (lexicon.parts, learned_parts))]
+    nouns = {ws[0] for ws in lexicon.types.values()}
+    of_types = {w for ws in lexicon.types.values() for w in ws}
+    rarity = {w: lexicon.rarity(w) for w in lexicon.count}
 
     @F.pandas_udf(_FEATURES)
     def parse(names: pd.Series, areas: pd.Series) -> pd.DataFrame:
@@ -150,10 +175,15 @@ def _features(text: Column, area: Column, count: dict[str, int], part_count: dic
         out = []
         for name, place in zip(names, areas, strict=True):
             tokens, around = words_of(name), words_of(place)
-            words = {w for t in tokens if (w := corrector.word(t))}
+            words = {w for t in tokens if (w := corrector.word(t))} - STOP
             found = [w for t in around if (w := parts.word(t))]
-            out.append((sorted(words - STOP), found[-1] if found else None, sister_letter(name), sorted({t for t in tokens + around if len(t) > 3})))
-        return pd.DataFrame(out, columns=["words", "part", "letter", "tokens"])
+            typed = words & of_types
+            out.append((
+                [{"w": w, "x": rarity[w]} for w in sorted(words - typed)], sorted(typed), bool(words & nouns), found[-1] if found else None, sister_letter(name),
+                sorted({t for t in tokens + around if len(t) > 3}), sorted({t for t in (*tokens, *around) if t in corrector.vocabulary or t in parts.vocabulary}),
+                sorted({t for t in tokens if len(t) > 2 and t not in corrector.vocabulary and t not in STOP}), sorted({t for t in around if len(t) > 2 and t not in parts.vocabulary}),
+            ))
+        return pd.DataFrame(out, columns=["free", "typed", "main", "part", "letter", "tokens", "exact", "foreign", "elsewhere"])
 
     return parse(text, area)
 
@@ -181,22 +211,30 @@ def _deletes(token: Column) -> Column:
     )
 
 
-def report_sites(mentions: DataFrame, machines: DataFrame) -> DataFrame:
-    """The word of the machines' areas that a report's mentions speak of most, weighed by rarity.
+def _site_words(area: Column) -> Column:
+    """Words of a machine's area that name its site: all but the last, which names the part, or the only one."""
+    words = F.filter(F.split(F.lower(area), "[^a-z]+"), lambda t: t != "")
+    return F.array_distinct(F.filter(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1))), lambda t: F.length(t) > 3))
+
+
+def mention_sites(mentions: DataFrame, machines: DataFrame) -> DataFrame:
+    """(source_ref, mention, site): the site of a report for all of its mentions, and the sites that a mention itself names.
 
-    All mentions of a report are neighbours: the site that most of them name holds
-    for those whose area is missing or misspelt too.
+    All mentions of a report are neighbours: the word of the machines' areas that most
+    of them speak of, weighed by rarity, holds for those whose area is missing or
+    misspelt too. Of two sites voted for equally both hold. A mention that names
+    another site as it stands has that too.
     """
     total = F.broadcast(machines.agg(F.count("*").alias("_all")))
     places = (
-        machines.select(F.explode(F.array_distinct(F.split(F.lower("area_name"), "[^a-z]+"))).alias("site"))
-        .where(F.length("site") > 3)
+        machines.select(F.explode(_site_words(F.col("area_name"))).alias("site"))
         .groupBy("site")
         .agg(F.count("*").alias("df"))
         .crossJoin(total)  # one row
         .select("site", F.log1p(F.col("_all") / F.col("df")).alias("idf"))
     )
-    said = mentions.select("source_ref", F.explode("tokens").alias("token")).groupBy("source_ref", "token").agg(F.count("*").alias("n"))
+    told = mentions.select("source_ref", "mention", F.explode("tokens").alias("token"))
+    said = told.groupBy("source_ref", "token").agg(F.count("*").alias("n"))
     forms = said.select("token").distinct().select("token", F.explode(_deletes(F.col("token"))).alias("form"))
     known = places.select("site", "idf", F.explode(_deletes(F.col("site"))).alias("form"))
     alike = (
@@ -204,66 +242,47 @@ def report_sites(mentions: DataFrame, machines: DataFrame) -> DataFrame:
         .select("token", "site", "idf", F.when(F.col("token") == F.col("site"), 1.0).otherwise(0.5).alias("w"))
         .dropDuplicates(["token", "site"])
     )
-    return (
-        said.join(alike, "token")
-        .groupBy("source_ref", "site")
-        .agg(F.sum(F.col("n") * F.col("w") * F.col("idf")).alias("vote"))
-        .groupBy("source_ref")
-        .agg(F.max_by("site", F.struct("vote", "site")).alias("site"))
+    votes = said.join(alike, "token").groupBy("source_ref", "site").agg(F.round(F.sum(F.col("n") * F.col("w") * F.col("idf")), 6).alias("vote"))
+    top = F.max("vote").over(Window.partitionBy("source_ref"))
+    voted = votes.withColumn("_top", top).where("vote = _top").select("source_ref", "site")
+    own = told.join(places.select(F.col("site").alias("token")), "token").select("source_ref", "mention", F.col("token").alias("site"))
+    return mentions.select("source_ref", "mention").join(voted, "source_ref").unionByName(own).distinct()
+
+
+def own_score() -> Column:
+    """How well a mention's own attributes fit a machine's: type, words by rarity, part, sister letter, ratings."""
+    noun, kind = F.get("k_type", F.lit(0)), F.col("k_type")
+    says = lambda w: F.array_contains("m_typed", w)
+    second = F.slice(kind, 2, F.greatest(F.size(kind), F.lit(1)))
+    another = F.exists("k_others", says) & ~F.exists(second, says)
+    of_type = (
+        F.when(F.coalesce(F.size(kind), F.lit(0)) <= 0, 0.0)
+        .when(says(noun), 0.5 + F.when(F.forall(kind, says), 0.5).otherwise(0.0) - F.when(another, 1.5).otherwise(0.0))
+        .when(F.col("m_main"), -3.0)
+        .otherwise(0.0)
+    )
+    weigh = lambda words: F.aggregate(words, F.lit(0.0), lambda acc, x: acc + x["x"])
+    names = F.transform("k_free", lambda x: x["w"])
+    shared = weigh(F.filter("m_free", lambda x: F.array_contains(names, x["w"])))
+    every = weigh(F.col("m_free")) + weigh(F.col("k_free")) - shared
+    of_words = (
+        F.when(F.size("k_free") == 0, 0.1)
+        .when(F.size("m_free") == 0, -0.3)
+        .otherwise(2.0 * F.when(every > 0, shared / every).otherwise(0.0) - 0.8 - F.when(shared == 0, 2.0).otherwise(0.0))
+    )
+    of_part = F.when(F.col("m_part").isNull() | F.col("k_part").isNull(), 0.0).when(F.col("m_part") == F.col("k_part"), 0.6).otherwise(-1.0)
+    of_letter = (
+        F.when(F.col("m_letter").isNotNull() & F.col("k_letter").isNotNull(), F.when(F.col("m_letter") == F.col("k_letter"), 0.5).otherwise(-5.0))
+        .when(F.col("m_letter").isNotNull(), -1.5)
+        .when(F.col("k_letter").isNotNull(), -0.1)
+        .otherwise(0.0)
     )
 
+    def near(a: str, b: str, tight: float, loose: float, good: float) -> Column:
+        apart = F.when((F.col(a) > 0) & (F.col(b) > 0), F.abs(F.log(F.col(a) / F.col(b))))
+        return F.when(apart <= tight, good).when(apart <= loose, 0.0).when(apart.isNotNull(), -2.5).otherwise(0.0)
 
-def _score(idf: dict[str, float], types: dict[str, list[str]]):
-    """Scorer of candidate edges in batches."""
-    main = {ws[0] for ws in types.values()}
-    second = {}
-    for ws in types.values():
-        second.setdefault(ws[0], set()).update(ws[1:])
-    typed_words = {w for ws in types.values() for w in ws}
-
-    def near(a, b, tight: float, loose: float, good: float) -> float:
-        if pd.isna(a) or pd.isna(b) or a <= 0 or b <= 0:
-            return 0.0
-        d = abs(math.log(a / b))
-        return good if d <= tight else (0.0 if d <= loose else -2.5)
-
-    def one(r) -> float:
-        mw, kw = set(r.m_words), set(r.k_words)
-        ktype = list(r.k_type) if r.k_type is not None else []
-        score = 0.0
-        if ktype:
-            mains = mw & main
-            if ktype[0] in mw:
-                others = (mw & second[ktype[0]]) - set(ktype)
-                score += 0.5 + 0.5 * (set(ktype) <= mw) - (1.5 if others and not set(ktype[1:]) & mw else 0.0)
-            elif mains:
-                score -= 3.0
-        ms, ks = mw - typed_words, kw - typed_words
-        if ks:
-            shared = sum(idf.get(w, 1.0) for w in ms & ks)
-            every = sum(idf.get(w, 1.0) for w in ms | ks)
-            j = shared / every if every else 0.0
-            score += 2.0 * j - 0.8 if ms else -0.3
-            if ms and not ms & ks:
-                score -= 2.0
-        else:
-            score += 0.1
-        if r.m_part and r.k_part:
-            score += 0.6 if r.m_part == r.k_part else -1.0
-        if r.m_letter and r.k_letter:
-            score += 0.5 if r.m_letter == r.k_letter else -5.0
-        elif r.m_letter:
-            score -= 1.5
-        elif r.k_letter:
-            score -= 0.1
-        return score + near(r.m_rpm, r.k_rpm, 0.03, 0.05, 0.5) + near(r.m_power, r.k_power, 0.06, 0.12, 0.7)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            s = [one(r) for r in b.itertuples(index=False)]
-            yield pd.DataFrame({"source_ref": b["source_ref"], "mention": b["mention"], "normalized_tag": b["normalized_tag"], "own": s, "weight": b["weight"]})
-
-    return score
+    return of_type + of_words + of_part + of_letter + near("m_rpm", "k_rpm", 0.03, 0.05, 0.5) + near("m_power", "k_power", 0.06, 0.12, 0.7)
 
 
 def propagate(edges: DataFrame) -> DataFrame:
@@ -325,6 +344,109 @@ def _settle(edges: DataFrame) -> DataFrame:
     return taken if taken is not None else best
 
 
+def _listed(crosswalk: DataFrame) -> DataFrame:
+    """The machine list with its names, sister letters and ratings; one row per tag."""
+    return crosswalk.where(F.col("normalized_tag").isNotNull()).select(
+        "normalized_tag", "dataset_machine_id", F.col("area_name"),
+        F.regexp_extract("normalized_tag", "^[A-Z]+", 0).alias("prefix"),
+        F.nullif(F.regexp_extract("normalized_tag", "[0-9]([A-Z])$", 1), F.lit("")).alias("k_letter"),
+        F.concat_ws(" ", F.regexp_replace(F.coalesce("external_name", F.lit("")), " [A-Fa-f]$", ""),
+                    F.regexp_replace(F.coalesce("dataset_machine_id", F.lit("")), "[A-Z]{2}_?[0-9]+.*?(_|$)([A-Z](_|$))?", " ")).alias("text"),
+        F.col("rpm1").cast("double").alias("k_rpm"), F.col("power_kw").cast("double").alias("k_power"),
+    ).dropDuplicates(["normalized_tag"])
+
+
+def read_lexicon(listed: DataFrame) -> Lexicon:
+    """The vocabulary of names, and the words that nearly all machines with a tag prefix share: their type."""
+    spoken = (
+        listed.select("normalized_tag", "prefix", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("at", "w"))
+        .where((F.length("w") > 2) & ~F.col("w").isin(*STOP))
+        .groupBy("normalized_tag", "prefix", "w").agg(F.min("at").alias("at"))
+    )
+    count = {r["w"]: r["n"] for r in _collect(spoken.groupBy("w").agg(F.count("*").alias("n")), "words in machine names")}
+    named = spoken.groupBy("prefix").agg(F.countDistinct("normalized_tag").alias("all"))
+    shared = spoken.groupBy("prefix", "w").agg(F.count("*").alias("n"), F.avg("at").alias("at")).join(named, "prefix").where(F.col("n") >= 0.8 * F.col("all"))
+    found: dict[str, list[tuple[float, str]]] = {}
+    spread: dict[str, set[str]] = {}
+    for r in _collect(shared.where("all > 1"), "words of tag prefixes"):
+        found.setdefault(r["prefix"], []).append((r["at"], r["w"]))
+        spread.setdefault(r["w"], set()).add(r["prefix"])
+    # within a type the noun first: the word of the most related types, of equals the one that stands first
+    types = {p: [w for _, w in sorted(ws, key=lambda x: (-len(spread[x[1]]), x))] for p, ws in found.items()}
+    tails = listed.select(F.element_at(F.split(F.lower("area_name"), "[^a-z]+"), -1).alias("w")).where(F.length("w") > 2)
+    return Lexicon(count, {r["w"]: r["n"] for r in _collect(tails.groupBy("w").agg(F.count("*").alias("n")), "parts of sites")}, types)
+
+
+def _keys(site: Column, words: Column, part: Column, rpm: Column, power: Column, around: Sequence[int]) -> Column:
+    """Blocking keys of a site: pairs of words, part and classes of ratings; a machine stands in the classes ``around`` its own too."""
+    none = F.array().cast("array<string>")
+    rating = lambda mark, x: F.when(x > 0, F.array(*[F.concat(F.lit(mark), (F.round(F.log(x) * 10) + k).cast("int")) for k in around])).otherwise(none)
+    return _pairs(F.concat(words, F.when(part.isNotNull(), F.array(F.concat(F.lit("@"), part))).otherwise(none), rating("#", rpm), rating("%", power)), site)
+
+
+def candidate_edges(mentions: DataFrame, machines: DataFrame) -> DataFrame:
+    """Edges (source_ref, mention, normalized_tag, own, weight) after meta-blocking, scored by their own attributes.
+
+    The weight is the rarity of what both ends share, of what the machine could share at all.
+    """
+    said = F.array_union(F.transform("m_free", lambda x: x["w"]), F.col("m_typed"))
+    of = F.array_union(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
+    m_keys = mentions.join(mention_sites(mentions, machines), ["source_ref", "mention"]).select(
+        "source_ref", "mention", F.explode(_keys(F.col("site"), said, F.col("m_part"), F.col("m_rpm"), F.col("m_power"), (0,))).alias("key")
+    )
+    k_keys = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select(
+        "normalized_tag", F.explode(_keys(F.col("site"), of, F.col("k_part"), F.col("k_rpm"), F.col("k_power"), (-1, 0, 1))).alias("key")
+    )
+    weighted = k_keys.join(k_keys.groupBy("key").agg(F.count("*").alias("df")), "key")
+    plain = F.when(~F.col("key").rlike("[#@%]"), 1 / F.col("df"))
+    whole = weighted.groupBy("normalized_tag").agg(F.sum(plain).alias("plain"), F.sum(1 / F.col("df")).alias("whole"))
+    edges = (
+        m_keys.join(weighted, "key")
+        .groupBy("source_ref", "mention", "normalized_tag")
+        .agg(F.sum(plain).alias("_plain"), F.sum(1 / F.col("df")).alias("_all"))
+        .join(whole, "normalized_tag")
+        # words of its name alone, where it has some
+        .withColumn("weight", F.when(F.col("plain").isNull(), F.col("_all") / F.col("whole")).otherwise(F.coalesce("_plain", F.lit(0.0)) / F.col("plain")))
+    )
+    mine = Window.partitionBy("source_ref", "mention")
+    kept = edges.withColumn("_mean", F.avg("weight").over(mine)).withColumn("_top", F.max("weight").over(mine)).where(
+        F.col("weight") >= F.least(F.col("_mean"), 0.5 * F.col("_top"))
+    ).select("source_ref", "mention", "normalized_tag", "weight")
+    full = kept.join(mentions, ["source_ref", "mention"]).join(machines, "normalized_tag")
+    return full.select("source_ref", "mention", "normalized_tag", own_score().alias("own"), "weight").where(F.col("own") >= MIN_SCORE)
+
+
+def learned_words(edges: DataFrame, mentions: DataFrame, machines: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
+    """What foreign tokens of names and of areas stand for, by the mentions whose machine is clear without them.
+
+    A token is learned for a word if it stands in clear mentions of ``TAUGHT`` machines
+    at least, and ``AGREED`` of all its clear mentions are of machines that have the
+    word while the mention itself doesn't say it.
+    """
+    rank = Window.partitionBy("source_ref", "mention").orderBy(F.desc("own"), "normalized_tag")
+    clear = edges.withColumn("_n", F.row_number().over(rank)).withColumn("_next", F.lead("own").over(rank)).where(
+        (F.col("_n") == 1) & (F.coalesce(F.col("own") - F.col("_next"), F.lit(9.0)) >= 2 * MARGIN)
+    ).select("source_ref", "mention", "normalized_tag")
+    names = F.concat(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
+    met = clear.join(mentions.select("source_ref", "mention", "exact", "foreign", "elsewhere"), ["source_ref", "mention"]).join(
+        machines.select("normalized_tag", names.alias("names"), F.array(F.col("k_part")).alias("parts")), "normalized_tag"
+    )
+
+    def taught(tokens: str, words: str) -> DataFrame:
+        unsaid = F.filter(words, lambda w: w.isNotNull() & ~F.array_contains("exact", w))
+        each = met.select("normalized_tag", F.explode(tokens).alias("token"), unsaid.alias("words"))
+        said = each.groupBy("token").agg(F.count("*").alias("all"))
+        pairs = each.select("normalized_tag", "token", F.explode("words").alias("word")).groupBy("token", "word").agg(F.count("*").alias("n"), F.countDistinct("normalized_tag").alias("machines"))
+        good = pairs.join(said, "token").where((F.col("machines") >= TAUGHT) & (F.col("n") >= AGREED * F.col("all")))
+        # of words that always come together the one that looks like the token
+        alike = (F.startswith("word", F.col("token")).cast("int"), (F.substring("word", 1, 1) == F.substring("token", 1, 1)).cast("int"))
+        return good.groupBy("token").agg(F.max_by("word", F.struct(alike[0].alias("a"), "n", "machines", alike[1].alias("b"), "word")).alias("word"))
+
+    both = taught("foreign", "names").withColumn("area", F.lit(False)).unionByName(taught("elsewhere", "parts").withColumn("area", F.lit(True)))
+    rows = _collect(both, "learned words")
+    return {r["token"]: r["word"] for r in rows if not r["area"]}, {r["token"]: r["word"] for r in rows if r["area"]}
+
+
 def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Each cell's machine: cell_id, normalized_tag, dataset_machine_id, confidence (0..1).
 
@@ -334,6 +456,7 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
     they are there; empty tables give no rows. ``external_tag`` and
     ``normalized_tag`` of the cells are the report's own marks and not used.
     """
+    spark = cells.sparkSession
     area = F.coalesce(F.col("area"), F.lit(""))
     row = F.element_at(F.col("bbox"), 2) if "bbox" in cells.columns else F.lit(None).cast("double")
     base = cells.select(
@@ -342,88 +465,37 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
         F.xxhash64(F.coalesce(F.col("source_page"), F.lit(-1)), F.coalesce(row, F.lit(-1.0)), F.coalesce(F.col("external_name"), F.lit("")),
                    area, F.coalesce(F.col("rpm1"), F.lit(-1.0)), F.coalesce(F.col("power_kw"), F.lit(-1.0))).alias("mention"),
     ).where(F.col("name").rlike(r"\S"))
-    listed = crosswalk.where(F.col("normalized_tag").isNotNull()).select(
-        "normalized_tag", "dataset_machine_id", F.col("area_name"),
-        F.regexp_extract("normalized_tag", "^[A-Z]+", 0).alias("prefix"),
-        F.nullif(F.regexp_extract("normalized_tag", "[0-9]([A-Z])$", 1), F.lit("")).alias("k_letter"),
-        F.concat_ws(" ", F.regexp_replace(F.coalesce("external_name", F.lit("")), " [A-Fa-f]$", ""),
-                    F.regexp_replace(F.coalesce("dataset_machine_id", F.lit("")), "[A-Z]{2}_?[0-9]+.*?(_|$)([A-Z](_|$))?", " ")).alias("text"),
-        F.col("rpm1").cast("double").alias("k_rpm"), F.col("power_kw").cast("double").alias("k_power"),
-    ).dropDuplicates(["normalized_tag"])
-    # the vocabulary of names, and the words that all machines with a tag prefix share: their type
-    spoken = listed.select("normalized_tag", "prefix", F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-z]+"))).alias("w")).where(
-        (F.length("w") > 2) & ~F.col("w").isin(*STOP)
-    )
-    count = {r["w"]: r["n"] for r in _collect(spoken.groupBy("w").agg(F.count("*").alias("n")), "words in machine names")}
-    named = spoken.groupBy("prefix").agg(F.countDistinct("normalized_tag").alias("all"))
-    shared = (
-        spoken.groupBy("prefix", "w").agg(F.count("*").alias("n")).join(named, "prefix").where(F.col("n") >= 0.8 * F.col("all"))
+    listed = _listed(crosswalk)
+    lexicon = read_lexicon(listed)
+    second: dict[str, set[str]] = {}
+    for ws in lexicon.types.values():
+        second.setdefault(ws[0], set()).update(ws[1:])
+    kinds = spark.createDataFrame(
+        [(p, ws, sorted(second[ws[0]] - set(ws))) for p, ws in lexicon.types.items()], "prefix string, k_type array<string>, k_others array<string>"
     )
-    types: dict[str, list[str]] = {}
-    spread: dict[str, set[str]] = {}
-    for r in _collect(shared.where("all > 1"), "tag prefixes"):
-        types.setdefault(r["prefix"], []).append(r["w"])
-        spread.setdefault(r["w"], set()).add(r["prefix"])
-    # within a type the word that heads most names first: the noun, shared with related types
-    for ws in types.values():
-        ws.sort(key=lambda w: (-len(spread[w]), -count[w], w not in {"bomba", "elevador", "criba"}, w))
-    most = sum(count.values()) or 1
-    idf = {w: math.log(1 + most / n) for w, n in count.items()}
-    part_words = _collect(
-        listed.select(F.explode(F.array_distinct(F.split(F.lower("area_name"), "[^a-z]+"))).alias("w"), F.element_at(F.split(F.lower("area_name"), "[^a-z]+"), -1).alias("tail"))
-        .where((F.col("w") == F.col("tail")) & (F.length("w") > 2)).groupBy("w").agg(F.count("*").alias("n")),
-        "parts of sites",
-    )
-    part_count = {r["w"]: r["n"] for r in part_words}
-
-    type_of = F.create_map(*[F.lit(x) for x in ("", "")]) if not types else F.create_map(*[x for p, ws in types.items() for x in (F.lit(p), F.array(*map(F.lit, ws)))])
-    k_type = F.try_element_at(type_of, "prefix") if types else F.lit(None).cast("array<string>")
-    f = _features(F.col("text"), F.coalesce("area_name", F.lit("")), count, part_count)
+    f = _features(F.col("text"), F.coalesce("area_name", F.lit("")), lexicon, {}, {})
+    none = F.array().cast("array<string>")
     machines = checkpoint(
         listed.withColumn("f", f)
-        .withColumn("k_type", k_type)
+        .join(kinds, "prefix", "left")
         .select(
-            "normalized_tag", "dataset_machine_id", "area_name", "k_letter", "k_rpm", "k_power", "k_type",
-            F.array_union("f.words", F.coalesce("k_type", F.array().cast("array<string>"))).alias("k_words"), F.col("f.part").alias("k_part"),
+            "normalized_tag", "area_name", "k_letter", "k_rpm", "k_power", F.coalesce("k_type", none).alias("k_type"), F.coalesce("k_others", none).alias("k_others"),
+            F.col("f.free").alias("k_free"), F.array_union("f.typed", F.coalesce("k_type", none)).alias("k_typed"), F.col("f.part").alias("k_part"),
         )
     )
-    mentions = checkpoint(
-        base.drop("cell_id").distinct()
-        .withColumn("f", _features(F.col("name"), F.col("area"), count, part_count))
-        .select("source_ref", "mention", "m_rpm", "m_power", F.col("f.words").alias("m_words"), F.col("f.part").alias("m_part"),
-                F.col("f.letter").alias("m_letter"), "f.tokens")
-    )
-    sites = report_sites(mentions, machines)
-    placed = mentions.join(sites, "source_ref").drop("tokens")
-    keyed = lambda words, part, rpm: F.array_union(
-        F.array_union(words, F.when(part.isNotNull(), F.array(F.concat(F.lit("@"), part))).otherwise(F.array().cast("array<string>"))),
-        F.when(rpm > 0, F.array(F.concat(F.lit("#"), F.round(F.log(rpm) * 10).cast("int")))).otherwise(F.array().cast("array<string>")),
-    )
-    m_keys = placed.select("*", F.explode(_pairs(keyed(F.col("m_words"), F.col("m_part"), F.col("m_rpm")), F.col("site"))).alias("key"))
-    k_sites = machines.select("*", F.explode(F.array_distinct(F.filter(F.split(F.lower("area_name"), "[^a-z]+"), lambda t: F.length(t) > 3))).alias("site"))
-    k_keys = k_sites.select("normalized_tag", F.explode(_pairs(keyed(F.col("k_words"), F.col("k_part"), F.col("k_rpm")), F.col("site"))).alias("key"))
-    # candidate graph: weight of an edge is the rarity of the keys its ends share
-    rarity = k_keys.groupBy("key").agg(F.count("*").alias("df"))
-    weighted = k_keys.join(rarity, "key")
-    plain = F.when(~F.col("key").rlike("[#@]"), 1 / F.col("df"))
-    whole = weighted.groupBy("normalized_tag").agg(F.sum(plain).alias("plain"), F.sum(1 / F.col("df")).alias("whole"))
-    edges = (
-        m_keys.select("source_ref", "mention", "key")
-        .join(weighted, "key")
-        .groupBy("source_ref", "mention", "normalized_tag")
-        .agg(F.sum(plain).alias("_plain"), F.sum(1 / F.col("df")).alias("_all"))
-        .join(whole, "normalized_tag")
-        # of what the machine could share at all; words of its name alone, where it has some
-        .withColumn("weight", F.when(F.col("plain").isNull(), F.col("_all") / F.col("whole")).otherwise(F.coalesce("_plain", F.lit(0.0)) / F.col("plain")))
-    )
-    mean = F.avg("weight").over(Window.partitionBy("source_ref", "mention"))
-    top = F.max("weight").over(Window.partitionBy("source_ref", "mention"))
-    kept = edges.withColumn("_mean", mean).withColumn("_top", top).where(
-        (F.col("weight") >= F.least(F.col("_mean"), 0.5 * F.col("_top")))
-    ).select("source_ref", "mention", "normalized_tag", "weight")
-    full = kept.join(placed.drop("site"), ["source_ref", "mention"]).join(machines.drop("dataset_machine_id", "area_name"), "normalized_tag")
-    scored = full.mapInPandas(_score(idf, types), "source_ref string, mention long, normalized_tag string, own double, weight double")
-    settled = _settle(propagate(scored.where(F.col("own") >= MIN_SCORE)))
+    once = checkpoint(base.drop("cell_id").distinct())
+
+    def read(learned: dict[str, str], parts: dict[str, str]) -> DataFrame:
+        f = _features(F.col("name"), F.col("area"), lexicon, learned, parts)
+        renamed = [F.col(f"f.{c}").alias(f"m_{c}") for c in ("free", "typed", "main", "part", "letter")]
+        return checkpoint(once.withColumn("f", f).select("source_ref", "mention", "m_rpm", "m_power", *renamed, "f.tokens", "f.exact", "f.foreign", "f.elsewhere"))
+
+    mentions = read({}, {})
+    edges = checkpoint(candidate_edges(mentions, machines))
+    learned, parts = learned_words(edges, mentions, machines)
+    if learned or parts:
+        edges = candidate_edges(read(learned, parts), machines)
+    settled = _settle(propagate(edges))
     return (
         base.select("cell_id", "source_ref", "mention")
         .join(settled, ["source_ref", "mention"])
