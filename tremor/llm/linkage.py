@@ -153,7 +153,7 @@ class Lexicon:
         return math.log(1 + (sum(self.count.values()) or 1) / self.count.get(word, 1))
 
 
-_FEATURES = "free array<struct<w:string,x:double>>, typed array<string>, main boolean, part string, letter string, tokens array<string>, exact array<string>, foreign array<string>, elsewhere array<string>"
+_FEATURES = "free array<struct<w:string,x:double>>, typed array<string>, main boolean, part string, letter string, tokens array<string>, exact array<string>, foreign array<string>, elsewhere array<string>, taught boolean"
 
 
 def _features(text: Column, area: Column, lexicon: Lexicon, learned: dict[str, str], learned_parts: dict[str, str]) -> Column:
@@ -162,7 +162,8 @@ def _features(text: Column, area: Column, lexicon: Lexicon, learned: dict[str, s
     ``free``: words with their rarity, without those of types (``typed``; ``main``: a
     noun of any type is said); ``part`` of the site; sister ``letter``; bare ``tokens``;
     ``exact``: the words of the list as they stand; ``foreign`` and ``elsewhere``: the
-    tokens of name and area that aren't such words.
+    tokens of name and area that aren't such words; ``taught``: what was learned
+    changes what one of them is read as.
     """
     made_of = [(tuple(sorted(c.items())), tuple(sorted(s.items()))) for c, s in ((lexicon.count, learned), (lexicon.parts, learned_parts))]
     nouns = {ws[0] for ws in lexicon.types.values()}
@@ -172,6 +173,7 @@ def _features(text: Column, area: Column, lexicon: Lexicon, learned: dict[str, s
     @F.pandas_udf(_FEATURES)
     def parse(names: pd.Series, areas: pd.Series) -> pd.DataFrame:
         corrector, parts = (shared_corrector(*m) for m in made_of)
+        unlearned, unlearned_parts = (shared_corrector(words, ()) for words, _ in made_of)
         out = []
         for name, place in zip(names, areas, strict=True):
             tokens, around = words_of(name), words_of(place)
@@ -182,8 +184,9 @@ def _features(text: Column, area: Column, lexicon: Lexicon, learned: dict[str, s
                 [{"w": w, "x": rarity[w]} for w in sorted(words - typed)], sorted(typed), bool(words & nouns), found[-1] if found else None, sister_letter(name),
                 sorted({t for t in tokens + around if len(t) > 3}), sorted({t for t in (*tokens, *around) if t in corrector.vocabulary or t in parts.vocabulary}),
                 sorted({t for t in tokens if len(t) > 2 and t not in corrector.vocabulary and t not in STOP}), sorted({t for t in around if len(t) > 2 and t not in parts.vocabulary}),
+                any(corrector.word(t) != unlearned.word(t) for t in tokens) or any(parts.word(t) != unlearned_parts.word(t) for t in around),
             ))
-        return pd.DataFrame(out, columns=["free", "typed", "main", "part", "letter", "tokens", "exact", "foreign", "elsewhere"])
+        return pd.DataFrame(out, columns=["free", "typed", "main", "part", "letter", "tokens", "exact", "foreign", "elsewhere", "taught"])
 
     return parse(text, area)
 
@@ -195,14 +198,6 @@ def _collect(df: DataFrame, what: str) -> list:
     return rows
 
 
-def _pairs(words: Column, site: Column) -> Column:
-    """Blocking keys: each pair of words within the site."""
-    s = F.array_sort(F.array_distinct(words))
-    return F.flatten(
-        F.transform(s, lambda a: F.transform(F.filter(s, lambda b: b > a), lambda b: F.concat_ws("|", site, a, b)))
-    )
-
-
 def _deletes(token: Column) -> Column:
     """The token and all forms of it with one letter less."""
     n = F.length(token)
@@ -377,42 +372,62 @@ def read_lexicon(listed: DataFrame) -> Lexicon:
     return Lexicon(count, {r["w"]: r["n"] for r in _collect(tails.groupBy("w").agg(F.count("*").alias("n")), "parts of sites")}, types)
 
 
-def _keys(site: Column, words: Column, part: Column, rpm: Column, power: Column, around: Sequence[int]) -> Column:
-    """Blocking keys of a site: pairs of words, part and classes of ratings; a machine stands in the classes ``around`` its own too."""
-    none = F.array().cast("array<string>")
-    rating = lambda mark, x: F.when(x > 0, F.array(*[F.concat(F.lit(mark), (F.round(F.log(x) * 10) + k).cast("int")) for k in around])).otherwise(none)
-    return _pairs(F.concat(words, F.when(part.isNotNull(), F.array(F.concat(F.lit("@"), part))).otherwise(none), rating("#", rpm), rating("%", power)), site)
+def _keys(site: Column, words: Column, part: Column, ratings: list[Column]) -> Column:
+    """Blocking keys of a site: (key, plain) for each pair of different attributes; ``plain`` ones are of words only."""
+    s = F.array_sort(F.array_distinct(words))
+    key = lambda plain, *x: F.struct(F.xxhash64(site, *x).alias("key"), F.lit(plain).alias("plain"))
+    cross = lambda xs, ys: F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda b: key(False, a, b))))
+    of_words = F.flatten(F.transform(s, lambda a: F.transform(F.filter(s, lambda b: b > a), lambda b: key(True, a, b))))
+    parts = F.filter(F.array(F.concat(F.lit("@"), part)), lambda x: x.isNotNull())
+    return F.concat(of_words, cross(s, parts), *[cross(F.concat(s, parts), r) for r in ratings], cross(*ratings))
+
+
+def _classes(mark: str, x: Column, per: int, both: bool) -> Column:
+    """The class of a rating on a logarithmic scale, for a machine also the nearer one beside it.
+
+    Ratings apart by half a class at most share one then.
+    """
+    at = F.log(x) * per
+    near = F.round(at) + F.when(at >= F.round(at), 1).otherwise(-1)
+    named = lambda c: F.concat(F.lit(mark), c.cast("int"))
+    return F.when(x > 0, F.array(named(F.round(at)), *([named(near)] if both else []))).otherwise(F.array().cast("array<string>"))
+
+
+def _ratings(rpm: str, power: str, both: bool) -> list[Column]:
+    return [_classes("#", F.col(rpm), 10, both), _classes("%", F.col(power), 4, both)]
 
 
-def candidate_edges(mentions: DataFrame, machines: DataFrame) -> DataFrame:
+def machine_keys(machines: DataFrame) -> DataFrame:
+    """(key, normalized_tag, plain, df, of_plain, of_all): a machine's blocking keys with their rarity and what it could share at all."""
+    of = F.array_union(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
+    keys = _keys(F.col("site"), of, F.col("k_part"), _ratings("k_rpm", "k_power", True))
+    k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode(keys).alias("k")).select("normalized_tag", "k.*").distinct()
+    rare = k.withColumn("df", F.count("*").over(Window.partitionBy("key")))
+    whole = rare.groupBy("normalized_tag").agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("of_plain"), F.sum(1 / F.col("df")).alias("of_all"))
+    return rare.join(whole, "normalized_tag")
+
+
+def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, machines: DataFrame) -> DataFrame:
     """Edges (source_ref, mention, normalized_tag, own, weight) after meta-blocking, scored by their own attributes.
 
     The weight is the rarity of what both ends share, of what the machine could share at all.
     """
     said = F.array_union(F.transform("m_free", lambda x: x["w"]), F.col("m_typed"))
-    of = F.array_union(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
-    m_keys = mentions.join(mention_sites(mentions, machines), ["source_ref", "mention"]).select(
-        "source_ref", "mention", F.explode(_keys(F.col("site"), said, F.col("m_part"), F.col("m_rpm"), F.col("m_power"), (0,))).alias("key")
-    )
-    k_keys = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select(
-        "normalized_tag", F.explode(_keys(F.col("site"), of, F.col("k_part"), F.col("k_rpm"), F.col("k_power"), (-1, 0, 1))).alias("key")
-    )
-    weighted = k_keys.join(k_keys.groupBy("key").agg(F.count("*").alias("df")), "key")
-    plain = F.when(~F.col("key").rlike("[#@%]"), 1 / F.col("df"))
-    whole = weighted.groupBy("normalized_tag").agg(F.sum(plain).alias("plain"), F.sum(1 / F.col("df")).alias("whole"))
+    m_keys = _keys(F.col("site"), said, F.col("m_part"), _ratings("m_rpm", "m_power", False))
+    placed = mentions.join(sites, ["source_ref", "mention"]).select("source_ref", "mention", F.explode(m_keys).alias("k")).select("source_ref", "mention", "k.key").distinct()
     edges = (
-        m_keys.join(weighted, "key")
+        placed.join(keys, "key")
         .groupBy("source_ref", "mention", "normalized_tag")
-        .agg(F.sum(plain).alias("_plain"), F.sum(1 / F.col("df")).alias("_all"))
-        .join(whole, "normalized_tag")
+        .agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("_plain"), F.sum(1 / F.col("df")).alias("_all"), F.first("of_plain").alias("of_plain"), F.first("of_all").alias("of_all"))
         # words of its name alone, where it has some
-        .withColumn("weight", F.when(F.col("plain").isNull(), F.col("_all") / F.col("whole")).otherwise(F.coalesce("_plain", F.lit(0.0)) / F.col("plain")))
+        .withColumn("weight", F.when(F.col("of_plain").isNull(), F.col("_all") / F.col("of_all")).otherwise(F.coalesce("_plain", F.lit(0.0)) / F.col("of_plain")))
     )
     mine = Window.partitionBy("source_ref", "mention")
     kept = edges.withColumn("_mean", F.avg("weight").over(mine)).withColumn("_top", F.max("weight").over(mine)).where(
         F.col("weight") >= F.least(F.col("_mean"), 0.5 * F.col("_top"))
     ).select("source_ref", "mention", "normalized_tag", "weight")
-    full = kept.join(mentions, ["source_ref", "mention"]).join(machines, "normalized_tag")
+    features = ["source_ref", "mention", "m_free", "m_typed", "m_main", "m_part", "m_letter", "m_rpm", "m_power"]
+    full = kept.join(mentions.select(*features), ["source_ref", "mention"]).join(machines.drop("area_name"), "normalized_tag")
     return full.select("source_ref", "mention", "normalized_tag", own_score().alias("own"), "weight").where(F.col("own") >= MIN_SCORE)
 
 
@@ -488,13 +503,15 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
     def read(learned: dict[str, str], parts: dict[str, str]) -> DataFrame:
         f = _features(F.col("name"), F.col("area"), lexicon, learned, parts)
         renamed = [F.col(f"f.{c}").alias(f"m_{c}") for c in ("free", "typed", "main", "part", "letter")]
-        return checkpoint(once.withColumn("f", f).select("source_ref", "mention", "m_rpm", "m_power", *renamed, "f.tokens", "f.exact", "f.foreign", "f.elsewhere"))
+        return once.withColumn("f", f).select("source_ref", "mention", "m_rpm", "m_power", *renamed, "f.tokens", "f.exact", "f.foreign", "f.elsewhere", "f.taught")
 
-    mentions = read({}, {})
-    edges = checkpoint(candidate_edges(mentions, machines))
+    mentions = checkpoint(read({}, {}))
+    sites, keys = checkpoint(mention_sites(mentions, machines)), checkpoint(machine_keys(machines))
+    edges = checkpoint(candidate_edges(mentions, sites, keys, machines))
     learned, parts = learned_words(edges, mentions, machines)
-    if learned or parts:
-        edges = candidate_edges(read(learned, parts), machines)
+    if learned or parts:  # what was learned is read anew
+        anew = checkpoint(read(learned, parts).where("taught"))
+        edges = edges.join(anew.select("source_ref", "mention"), ["source_ref", "mention"], "left_anti").unionByName(candidate_edges(anew, sites, keys, machines))
     settled = _settle(propagate(edges))
     return (
         base.select("cell_id", "source_ref", "mention")
