@@ -82,6 +82,26 @@ def test_one_rule_at_every_size(spark):
     assert flagged(spark, data, block_rows=300) == whole
 
 
+@pytest.mark.parametrize("seed", [11, 12])
+def test_size_of_blocks_has_no_effect(spark, seed):
+    """Random series with spikes, runs, gaps, copies and crowded minutes, in blocks of several sizes."""
+    rng = np.random.default_rng(seed)
+    data, at = [], 0
+    for point in range(3):
+        t = np.cumsum(rng.choice([0.001, 1, 60, 600], size=900, p=[0.2, 0.2, 0.5, 0.1]))
+        v = np.exp(0.05 * rng.standard_normal(900) * (1 + (np.arange(900) // 300 == point)))
+        v = np.round(v, int(rng.integers(1, 4)))
+        for i in rng.integers(10, 890, 12):
+            v[i] *= rng.choice([0.2, 1.4, 3, 6])
+        for i in rng.integers(10, 800, 4):
+            v[i : i + int(rng.integers(4, 90))] = v[i]
+        rows_ = [(at + i, point, T0 + dt.timedelta(minutes=float(t[i])), float(v[i]), [float(v[i] / 2), float(rng.integers(1, 3))], T0) for i in range(900)]
+        data += rows_ + [(at + 5000, *rows_[100][1:])]
+        at += 10_000
+    whole = flagged(spark, data)
+    assert whole and all(flagged(spark, data, block_rows=n) == whole for n in (37, 250, 700))
+
+
 def test_degenerate(spark):
     assert flagged(spark, []) == set()
     assert flagged(spark, [(1, None, None, -5.0, None, None), (2, 1, None, 1.0, [1.0], None), (3, 1, T0, None, None, None), (4, 1, T0, 1.0, [], None)]) == {1}

@@ -10,14 +10,16 @@ c. stuck runs: a value repeated in more consecutive readings than the source's o
    share of chance repeats explains.
 
 The increments are kept as quantile sketches (counts in logarithmic buckets, 1 %
-relative error) per source, channel and hour context; sketches of parts of a source
-merge by adding counts.
+relative error) per source, channel and hour of the day; sketches of parts of a source
+merge by adding counts. What is typical of an hour leans on the whole source by a
+fixed weight, so that hours with few readings borrow from it.
 
 Scale: a source that holds a large share of all rows is cut into blocks of whole
-days with a margin of neighbouring readings on both sides, so no task holds a
-whole hot source. Sources below ``BLOCK_ROWS`` readings are one block and need one
-pass. Repeated deliveries of one reading are reduced to one before the shuffle by
-source and joined back by key at the end, so a heap of copies is never one task.
+minutes with a margin of neighbouring readings on both sides, so no task holds a
+whole hot source; a reading finds its blocks by an equi-join on source and minute.
+Sources below ``BLOCK_ROWS`` readings are one block and need one pass. Repeated
+deliveries of one reading are reduced to one before the shuffle by source and joined
+back by key at the end, so a heap of copies is never one task.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tremor.session import checkpoint
+
 TOP = 200.0
 #: Fences lie this many interquartile ranges outside the quartiles.
 FENCE = 2.6
@@ -38,8 +42,10 @@ AROUND = 5
 GAMMA = 1.02
 MIN_RUN = 6
 CHANCE = 1e-3
-#: A context's own sketch counts from so many increments on; below, that of the whole source.
-CONTEXT_LEAST = 200
+#: Hours of the day; what is typical of one leans on the whole source with the weight of so many increments.
+HOURS, BORROWED = 24, 200
+#: The unit of time that blocks consist of, in microseconds.
+SLICE = 60_000_000
 #: Sources with more readings are cut; at most one part in 100,000 of all readings, 50,000 at least.
 BLOCK_ROWS = 50_000
 MARGIN = 400
@@ -168,7 +174,7 @@ def _examine(table: pa.Table) -> Iterator[pd.DataFrame]:
     ts, vhash = table["ts"].to_numpy(), table["vhash"].to_numpy()
     core, whole = table["core"].to_numpy(zero_copy_only=False).astype(bool), block < 0
     group = np.cumsum(np.r_[True, (point[1:] != point[:-1]) | (block[1:] != block[:-1])]) - 1
-    hours = (ts // 21_600_000_000) % 4
+    hours = (ts // 3_600_000_000) % HOURS
     m = _matrix(table)
     for channel in range(m.shape[1]):
         v = m[:, channel]
@@ -192,10 +198,10 @@ def _examine(table: pa.Table) -> Iterator[pd.DataFrame]:
         typical[k] = med
         np.minimum.at(low := np.full(len(n), np.inf), g[has], step[has])
         smallest[np.isfinite(low)] = low[np.isfinite(low)]
-        ck, cmed, cn = sketch_medians(g[has] * 4 + hours[at][has], b)
-        by_context = np.repeat(typical, 4)
-        by_context[ck[cn >= CONTEXT_LEAST]] = cmed[cn >= CONTEXT_LEAST]
-        half = np.maximum(by_context[g * 4 + hours[at]], smallest[g] / 2)
+        ck, cmed, cn = sketch_medians(g[has] * HOURS + hours[at][has], b)
+        by_context = np.repeat(typical, HOURS)
+        by_context[ck] = np.exp((cn * np.log(cmed) + BORROWED * np.log(by_context[ck])) / (cn + BORROWED))
+        half = np.maximum(by_context[g * HOURS + hours[at]], smallest[g] / 2)
         c, w = core[at], whole[at]
         with np.errstate(invalid="ignore"):
             spike = off > half * (1 + 2 * FENCE)
@@ -271,35 +277,27 @@ def _examine_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield from emit(pa.Table.from_batches(held))
 
 
-def _blocks(distinct: DataFrame, counts: DataFrame, limit: int) -> DataFrame:
-    """Blocks of whole days for each source above ``limit`` readings, each with the days of its margins."""
-    days = (
-        distinct.join(counts.where(F.col("n") > limit).select("point"), "point", "left_semi")
-        .groupBy("point", F.floor(F.col("ts") / 86_400_000_000).alias("day"))
-        .agg(F.count("*").alias("k"))
-    )
-    w = Window.partitionBy("point").orderBy("day")
-    cum = days.withColumn("upto", F.sum("k").over(w)).withColumn("block", F.floor((F.col("upto") - F.col("k")) / limit))
-    edge = cum.groupBy("point", "block").agg(
-        F.min("day").alias("lo"), F.max("day").alias("hi"), F.min(F.col("upto") - F.col("k")).alias("a"), F.max("upto").alias("b")
-    )
-    reach = edge.join(cum.select("point", "day", "upto", "k"), "point")
-    return (
-        reach.groupBy("point", "block", "lo", "hi")
-        .agg(
-            F.max(F.when(F.col("upto") - F.col("k") <= F.greatest(F.col("a") - MARGIN, F.lit(0)), F.col("day"))).alias("from"),
-            F.min(F.when(F.col("upto") >= F.col("b") + MARGIN, F.col("day"))).alias("_to"),
-            F.max("day").alias("_end"),
-        )
-        .groupBy("point")
-        .agg(F.collect_list(F.struct("block", "lo", "hi", "from", F.coalesce("_to", "_end").alias("to"))).alias("blocks"))
-    )
+def _blocks(placed: DataFrame, hot: DataFrame, limit: int) -> DataFrame:
+    """(point, slice, block, core): the blocks that each minute of a source above ``limit`` readings belongs to.
+
+    A block is the minutes whose first reading has the same place in units of ``limit``;
+    it also has, not as its core, the minutes with the ``MARGIN`` readings before and
+    after it. Blocks and minutes meet by an equi-join on these units.
+    """
+    counted = placed.join(F.broadcast(hot), "point", "left_semi").groupBy("point", F.floor(F.col("ts") / SLICE).alias("slice")).agg(F.count("*").alias("k"))
+    upto = F.sum("k").over(Window.partitionBy("point").orderBy("slice"))
+    minutes = counted.withColumn("end", upto).select("point", "slice", (F.col("end") - F.col("k")).alias("start"), "end").withColumn("block", F.floor(F.col("start") / limit))
+    units = lambda lo, hi: F.explode(F.sequence(F.floor(lo / limit), F.floor((hi - 1) / limit))).alias("unit")
+    extent = minutes.groupBy("point", "block").agg(F.greatest(F.min("start") - MARGIN, F.lit(0)).alias("lo"), (F.max("end") + MARGIN).alias("hi"))
+    reach = extent.select("point", F.col("block").alias("of"), "lo", "hi", units(F.col("lo"), F.col("hi")))
+    met = minutes.select("*", units(F.col("start"), F.col("end"))).join(reach, ["point", "unit"]).where((F.col("start") < F.col("hi")) & (F.col("end") > F.col("lo")))
+    return met.select("point", "slice", F.col("of").alias("block"), (F.col("of") == F.col("block")).alias("core")).distinct()
 
 
 def _settle(found: DataFrame) -> DataFrame:
     """Findings of sources in several blocks, judged by their merged sketches and counts as a source in one block is.
 
-    The fences are one row per source and channel, so at most 100,000 times the channels.
+    The fences are a row per source, channel and hour of sources in several blocks.
     """
     keys = ["point", "channel"]
     sketch = found.where("kind = 2").groupBy(*keys, "context", "run").agg(F.sum("vhash").alias("k"))
@@ -322,19 +320,13 @@ def _settle(found: DataFrame) -> DataFrame:
         p = F.least(F.greatest(share, F.lit(1e-9)), F.lit(0.95))
         return F.greatest(F.lit(MIN_RUN), F.ceil(1 + F.log(F.lit(CHANCE) / F.col("n")) / F.log(p)))
 
-    typical = medians.groupBy(*keys).agg(
-        F.max(F.when(F.col("context") == -1, F.col("typical"))).alias("whole"),
-        *[F.max(F.when((F.col("context") == c) & (F.col("n") >= CONTEXT_LEAST), F.col("typical"))).alias(f"own{c}") for c in range(4)],
-    )
-    fences = F.broadcast(
-        counts.join(typical, keys, "left").select(
-            *keys, "n", bound(F.col("repeats") / F.greatest("runs", F.lit(1))).alias("bound"),
-            *[F.greatest(F.coalesce(f"own{c}", "whole"), F.when(F.col("whole").isNotNull(), F.col("smallest") / 2)).alias(f"half{c}") for c in range(4)],
-        )
-    )
+    whole = medians.where("context = -1").select(*keys, F.col("typical").alias("whole"))
+    fences = counts.join(whole, keys, "left").select(*keys, "n", bound(F.col("repeats") / F.greatest("runs", F.lit(1))).alias("bound"), "whole", (F.col("smallest") / 2).alias("least"))
     maybe = found.where("kind = 1")
-    half = F.coalesce(*[F.when(F.col("context") == c, F.col(f"half{c}")) for c in range(4)])
-    off = maybe.where("off > 0").join(fences, keys).where(F.col("off") > half * (1 + 2 * FENCE)).select("point", "ts", "vhash")
+    own = medians.where("context >= 0").select(*keys, "context", F.col("typical").alias("own"), F.col("n").alias("own_n"))
+    borrowed = F.exp((F.col("own_n") * F.log("own") + BORROWED * F.log("whole")) / (F.col("own_n") + BORROWED))
+    half = F.greatest(F.coalesce(borrowed, "whole"), F.when(F.col("whole").isNotNull(), F.col("least")))
+    off = maybe.where("off > 0").join(own, [*keys, "context"], "left").join(fences, keys).where(F.col("off") > half * (1 + 2 * FENCE)).select("point", "ts", "vhash")
     # runs that go on from block to block are one
     w = Window.partitionBy(*keys).orderBy("block", "edge")
     goes_on = (F.col("edge") == 1) & F.coalesce(F.lag("value").over(w) == F.col("value"), F.lit(False))
@@ -364,7 +356,6 @@ def implausible_readings(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> D
     reading (same point, time and values) are judged once and all come out; an
     empty table gives no rows; other columns are ignored.
     """
-    spark = readings.sparkSession
     typed = readings.select(
         "reading_id",
         F.col("point_record_num").cast("long").alias("point"),
@@ -380,26 +371,20 @@ def implausible_readings(readings: DataFrame, block_rows: int = BLOCK_ROWS) -> D
     counts = placed.groupBy("point").agg(F.count("*").alias("n"))
     top = counts.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
     limit = max(block_rows, int((top["all"] or 0) / 100_000))
-    distinct = placed.select("point", "ts", "vhash", "overall", "bands").distinct()
-    if (top["most"] or 0) > limit:
-        # at most all/limit <= 100,000 blocks in all, whatever the data
-        blocks = _blocks(placed.select("point", "ts"), counts, limit)
-        day = F.floor(F.col("ts") / 86_400_000_000)
-        one = F.array(F.struct(F.lit(-1).cast("long").alias("block"), F.lit(True).alias("core")))
-        cut = F.transform(
-            F.filter("blocks", lambda b: day.between(b["from"], b["to"])),
-            lambda b: F.struct(b["block"].cast("long").alias("block"), day.between(b["lo"], b["hi"]).alias("core")),
-        )
-        laid = distinct.join(F.broadcast(blocks), "point", "left").select(
-            "point", "ts", "vhash", "overall", "bands", F.inline(F.when(F.col("blocks").isNull(), one).otherwise(cut))
-        )
-    else:
-        laid = distinct.withColumn("block", F.lit(-1).cast("long")).withColumn("core", F.lit(True))
+    columns = ["point", "ts", "vhash", "overall", "bands"]
+    some_hot = (top["most"] or 0) > limit
+    cold = placed.select(*columns)
+    if some_hot:
+        # at most all/limit <= 100,000 sources are hot, whatever the data
+        hot = counts.where(F.col("n") > limit).select("point")
+        cold = cold.join(F.broadcast(hot), "point", "left_anti")
+    laid = cold.distinct().withColumn("block", F.lit(-1).cast("long")).withColumn("core", F.lit(True))
+    if some_hot:
+        warm = placed.select(*columns).join(F.broadcast(hot), "point", "left_semi").distinct().withColumn("slice", F.floor(F.col("ts") / SLICE))
+        laid = laid.unionByName(warm.join(_blocks(placed.select("point", "ts"), hot, limit), ["point", "slice"]).select(*columns, "block", "core"))
     ordered = laid.repartition("point", "block").sortWithinPartitions("point", "block", "ts", "vhash")
     found = ordered.mapInArrow(_examine_partition, _OUT)
-    if (top["most"] or 0) > limit:
-        from tremor.session import checkpoint
-
+    if some_hot:
         found = checkpoint(found)
         cases = found.where("kind = 0").select("point", "ts", "vhash").unionByName(_settle(found)).distinct()
     else:
