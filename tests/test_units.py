@@ -9,7 +9,7 @@ CATALOGUE = {"mm/s": "velocity", "in/s": "velocity", "m/s": "velocity", "cm/s":
 
 @pytest.fixture(scope="module")
 def reader():
-    return UnitReader(CATALOGUE, units.VIBRATION_PRIORS)
+    return UnitReader(CATALOGUE, units.FIELD_PRIORS["limit"])
 
 
 @pytest.mark.parametrize(
@@ -64,3 +64,14 @@ def test_quantities(spark):
     assert q[("note", 7)]["low_common"] == pytest.approx(50.8) and q[("note", 9)]["state"] == "unstated" and q[("note", 8)]["state"] == "common"
     empty = [t.limit(0) for t in (limits, notes, spectra)]
     assert units.quantities(*empty, catalogue).count() == 0
+
+
+def test_unit_strings_of_any_length(spark):
+    import time
+
+    reader = UnitReader({"mm/s": "velocity", "g": "acceleration"})
+    assert reader.read("mm" + " " * 300 + "/" + " " * 300 + "s") == "mm/s" and reader.read("mm/s " + "rms " * 100) == "mm/s"
+    began = time.process_time()
+    for text in ("m " * 20_000, "mm/s " + "rms " * 100_000 + "x", "g" * 100_000, "m/s*" * 20_000):
+        assert reader.read(text) is None
+    assert time.process_time() - began < 20

@@ -75,20 +75,36 @@ class Cut:
     roots: int = 0
     score: float = 0.0
     joined: bool = True
+    #: the cut before and the last piece
     path: tuple = field(default=(), compare=False)
 
+    @property
+    def pieces(self) -> list[str]:
+        out, path = [], self.path
+        while path:
+            path, piece = path
+            out.append(piece)
+        return out[::-1]
+
 
 _PREFIX, _ROOT, _EXP, _QUAL = Trie(PREFIXES), Trie(ROOTS), Trie(EXPONENTS), Trie({q: q for q in QUALIFIERS})
+#: No unit has a base to a higher power, nor a factor further from one. Keeps the states of a place few, so that strings of any length take linear time.
+HIGHEST_POWER, FURTHEST = 8, 1e30
 
 
-def decompositions(text: str, limit: int = 64) -> list[Cut]:
-    """All full cuts of a folded unit string, best first; unit strings longer than ``limit`` have none."""
+def decompositions(text: str) -> list[Cut]:
+    """All full cuts of a folded unit string of any length, best first."""
     n = len(text)
-    if not 0 < n <= limit:
+    if not n:
         return []
     best: list[dict] = [{} for _ in range(n + 1)]
+    furthest = 0
 
     def put(i: int, cut: Cut) -> None:
+        nonlocal furthest
+        if max(abs(cut.length), abs(cut.time)) > HIGHEST_POWER or not 1 / FURTHEST < cut.factor < FURTHEST:
+            return
+        furthest = max(furthest, i)
         key = (cut.length, cut.time, round(math.log(cut.factor), 9), cut.sign, cut.roots > 0, cut.joined)
         old = best[i].get(key)
         if old is None or cut.score > old.score:
@@ -96,7 +112,10 @@ def decompositions(text: str, limit: int = 64) -> list[Cut]:
 
     put(0, Cut())
     for i in range(n):
-        for cut in list(best[i].values()):
+        if i > furthest:
+            return []
+        at, best[i] = best[i], {}
+        for cut in at.values():
             ch = text[i]
             if ch in " .":
                 put(i + 1, Cut(cut.length, cut.time, cut.factor, cut.sign, cut.roots, cut.score - 0.1, True, cut.path))
@@ -109,7 +128,7 @@ def decompositions(text: str, limit: int = 64) -> list[Cut]:
             if cut.roots:
                 for j, q in _QUAL.at(text, i):
                     if j > i and cut.joined:
-                        put(j, Cut(cut.length, cut.time, cut.factor, cut.sign, cut.roots, cut.score, True, (*cut.path, q)))
+                        put(j, Cut(cut.length, cut.time, cut.factor, cut.sign, cut.roots, cut.score, True, (cut.path, q)))
             if not cut.joined:  # two roots need something between them
                 continue
             starts = [(i, 1.0, 0.0, "")]
@@ -126,7 +145,7 @@ def decompositions(text: str, limit: int = 64) -> list[Cut]:
                         p = e * cut.sign
                         put(c, Cut(
                             cut.length + dim[0] * p, cut.time + dim[1] * p, cut.factor * (scale * size) ** p,
-                            cut.sign, cut.roots + 1, cut.score + worth + cost - 2.0, False, (*cut.path, prefix + text[a:c]),
+                            cut.sign, min(cut.roots + 1, 9), cut.score + worth + cost - 2.0, False, (cut.path, prefix + text[a:c]),
                         ))
     return sorted((c for c in best[n].values() if c.roots), key=lambda c: (-c.score, c.roots))
 
@@ -164,7 +183,7 @@ class UnitReader:
         options = [(c.score + self.priors.get(self.quantity[u], 0.0), u) for c in decompositions(fold(text)) if (u := self.units.get(self._key(c)))]
         if options:
             found = max(options, key=lambda x: x[0])[1]
-        if len(self._seen) < 100_000:
+        if len(text) < 1000 and len(self._seen) < 100_000:  # remembered
             self._seen[text] = found
         return found
 

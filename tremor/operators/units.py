@@ -23,8 +23,13 @@ from pyspark.sql import functions as F
 from tremor.functions.unit_grammar import UnitReader
 
 CATALOGUE_LIMIT = 10_000
-#: Quantities that a field can hold, weighed: what a vibration limit or reading most often is.
-VIBRATION_PRIORS = {"velocity": 0.3, "acceleration": 0.2, "displacement": 0.1}
+#: How likely the quantities are in each field, for strings that can be cut into several. Limits and lines of alarms are mostly
+#: velocities; spectra are taken of accelerations as often.
+FIELD_PRIORS = {
+    "limit": {"velocity": 0.3, "acceleration": 0.2, "displacement": 0.1},
+    "note": {"velocity": 0.3, "acceleration": 0.2, "displacement": 0.1},
+    "spectrum": {"velocity": 0.25, "acceleration": 0.25, "displacement": 0.1},
+}
 
 _NUM = r"[-+]?\d+(?:[.,]\d+)?"
 #: Heads of an alarm line (what stands before the unit) and anchors (what stands after it), by layout.
@@ -104,12 +109,13 @@ def alarm_line_unit(reader: UnitReader, text: str | None, band: str | None) -> s
     return None
 
 
-def _reader(catalogue: DataFrame) -> tuple[UnitReader, list[dict]]:
-    rows = [r.asDict() for r in catalogue.limit(CATALOGUE_LIMIT + 1).collect()]
+def unit_readers(catalogue: DataFrame, priors: dict[str, dict[str, float]] = FIELD_PRIORS) -> dict[str, UnitReader]:
+    """A reader for each field, from the catalogue, whose size is checked."""
+    rows = catalogue.select("unit", "quantity").limit(CATALOGUE_LIMIT + 1).collect()
     if len(rows) > CATALOGUE_LIMIT:
         raise ValueError(f"the unit catalogue has more than {CATALOGUE_LIMIT} units")
-    rows = [r for r in rows if r["unit"] is not None]
-    return UnitReader({r["unit"]: r["quantity"] for r in rows}, VIBRATION_PRIORS), rows
+    units = {r["unit"]: r["quantity"] for r in rows if r["unit"] is not None}
+    return {field: UnitReader(units, weights) for field, weights in priors.items()}
 
 
 def read_units(text: Column, reader: UnitReader) -> Column:
@@ -122,8 +128,8 @@ def read_units(text: Column, reader: UnitReader) -> Column:
     return read(text)
 
 
-def limit_units(limits: DataFrame, reader: UnitReader, codes: dict[int, str]) -> DataFrame:
-    """One row per slot with an alert or danger above 0; a known code speaks first, then the set's name.
+def limit_units(limits: DataFrame, reader: UnitReader, catalogue: DataFrame) -> DataFrame:
+    """One row per slot with an alert or danger above 0; a code of the catalogue speaks first, then the set's name.
 
     Arrays of unequal length are zipped to the longest, missing entries are null.
     """
@@ -132,18 +138,20 @@ def limit_units(limits: DataFrame, reader: UnitReader, codes: dict[int, str]) ->
     def named(names: pd.Series) -> pd.Series:
         return names.map(reader.find, na_action="ignore").astype(object)
 
-    code = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv]) if codes else F.create_map().cast("map<int,string>")
+    codes = catalogue.where("limit_code is not null and unit is not null").groupBy(F.col("limit_code").cast("int").alias("code")).agg(F.max("unit").alias("coded"))
     slots = limits.select("record_num", named("set_name").alias("_named"), "alert", "danger", "unit_codes").select(
         "record_num",
         "_named",
         F.posexplode(F.arrays_zip("alert", "danger", "unit_codes")).alias("slot", "s"),
     )
     above = lambda c: F.coalesce((c > 0) & ~F.isnan(c), F.lit(False))
-    return slots.where(above(F.col("s.alert")) | above(F.col("s.danger"))).select(
+    limited = slots.where(above(F.col("s.alert")) | above(F.col("s.danger")))
+    # the catalogue has at most CATALOGUE_LIMIT rows, which is checked where its readers are made
+    return limited.join(F.broadcast(codes), F.col("s.unit_codes") == F.col("code"), "left").select(
         F.lit("limit").alias("src"),
         F.col("record_num").alias("record_id"),
         "slot",
-        F.coalesce(F.try_element_at(code, F.col("s.unit_codes")), "_named").alias("unit"),
+        F.coalesce("coded", "_named").alias("unit"),
         F.col("s.alert").cast("double").alias("low"),
         F.col("s.danger").cast("double").alias("high"),
     )
@@ -183,22 +191,17 @@ def quantities(limits: DataFrame, notes: DataFrame, spectra: DataFrame, catalogu
     unit; ``state`` tells these (unstated) from common and converted ones. ``low``
     and ``high`` are alert and danger of a limit or the value of an alarm line.
     """
-    reader, rows = _reader(catalogue)
-    codes = {int(r["limit_code"]): r["unit"] for r in rows if r["limit_code"] is not None}
+    readers = unit_readers(catalogue)
     spelled = (
-        limit_units(limits, reader, codes).unionByName(note_units(notes, reader)).unionByName(spectrum_units(spectra, reader))
+        limit_units(limits, readers["limit"], catalogue).unionByName(note_units(notes, readers["note"])).unionByName(spectrum_units(spectra, readers["spectrum"]))
     )
-    factor = F.create_map(*[F.lit(x) for r in rows for x in (r["unit"], float(r["to_common"]))])
-    common = F.create_map(*[F.lit(x) for r in rows for x in (r["unit"], r["common_unit"])])
-    return spelled.select(
-        "src", "record_id", "slot", "unit",
-        F.try_element_at(common, "unit").alias("common_unit"),
-        F.try_element_at(factor, "unit").alias("to_common"),
-        (F.col("low") * F.try_element_at(factor, "unit")).alias("low_common"),
-        (F.col("high") * F.try_element_at(factor, "unit")).alias("high_common"),
-        F.when(F.col("unit").isNull(), "unstated")
-        .when(F.col("unit") == F.try_element_at(common, "unit"), "common")
-        .otherwise("converted").alias("state"),
+    known = catalogue.where("unit is not null").select("unit", "common_unit", F.col("to_common").cast("double")).dropDuplicates(["unit"])
+    # at most CATALOGUE_LIMIT rows
+    return spelled.join(F.broadcast(known), "unit", "left").select(
+        "src", "record_id", "slot", "unit", "common_unit", "to_common",
+        (F.col("low") * F.col("to_common")).alias("low_common"),
+        (F.col("high") * F.col("to_common")).alias("high_common"),
+        F.when(F.col("unit").isNull(), "unstated").when(F.col("unit") == F.col("common_unit"), "common").otherwise("converted").alias("state"),
     )
 
 
