@@ -73,3 +73,22 @@ def test_reference_limit(spark, monkeypatch):
     monkeypatch.setattr(mapping, "REFERENCE_LIMIT", 1)
     with pytest.raises(ValueError, match="more than"):
         mapping.reference_entries(spark.createDataFrame([(1, "bearing", "a"), (2, "bearing", "b")], "ref_id long, kind string, canonical string"))
+
+
+def test_aliases_as_a_table(spark):
+    points = spark.createDataFrame([(1, "mtr la"), (2, "Motor lado acople"), (3, "mtr ##")], "record_num long, long_name string").selectExpr("*", "cast(null as array<string>) bearing_designations")
+    reference = spark.createDataFrame([(7, "point_name", "MOTOR LADO ACOPLE"), (8, "point_name", "MOTOR")], "ref_id long, kind string, canonical string")
+    table = spark.createDataFrame([("la", "lado acople"), ("Mtr.", "motor"), ("x", None)], "spelling string, means string")
+    got = lambda a: {r["record_num"]: r["ref_id"] for r in mapping.map_points(points, reference, a).collect()}
+    assert got(table) == {1: 7, 2: 7, 3: 8} and got(table.limit(0)) == {1: 0, 2: 7, 3: 8}
+
+
+def test_long_lists_and_long_runs_of_letters():
+    import time
+
+    began = time.process_time()
+    entries = [(i, f"pump {i} of line {i % 97} part{i % 13}") for i in range(1, 20_001)]
+    names = mapping.NameResolver(entries, {}, {}, frozenset())
+    assert names.resolve("line 5 pump 5 part5 off") == 5 and time.process_time() - began < 5
+    codes = mapping.CodeResolver([(1, "6204"), (2, "NU308")])
+    assert codes.resolve("X" * 5000 + "6204") == 1 and codes.resolve("AAANU6204") == 1 and codes.resolve("A NU6204") == 0

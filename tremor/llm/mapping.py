@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import ahocorasick
 import pandas as pd
@@ -119,7 +120,13 @@ class NameResolver:
             key = frozenset(fold(canonical).split())
             if self.items.setdefault(key, ref) != ref:
                 self.clashing.add(key)
-        vocabulary = {w for key in self.items for w in key}
+        #: entries by each of their words
+        self.having: dict[str, list[frozenset]] = {}
+        for key in self.items:
+            for w in key:
+                self.having.setdefault(w, []).append(key)
+        names = dict(reversed(entries))
+        vocabulary = set(self.having)
         self.noise = noise - vocabulary
         #: spelling -> the word sets it may stand for
         self.forms: dict[str, set[tuple]] = {}
@@ -133,7 +140,7 @@ class NameResolver:
         self.automaton = ahocorasick.Automaton()
         patterns: dict[str, set[tuple]] = {f" {s} ": v for s, v in self.forms.items()}
         for key, ref in self.items.items():  # whole canonical names as they stand
-            patterns.setdefault(f" {fold(next(c for r, c in entries if r == ref))} ", set()).add(tuple(key))
+            patterns.setdefault(f" {fold(names[ref])} ", set()).add(tuple(key))
         for word, value in patterns.items():
             self.automaton.add_word(word, (word, value))
         if patterns:
@@ -196,10 +203,12 @@ class NameResolver:
         if not options:
             return 0
         scored = []
-        for key, ref in self.items.items():
+        # every token stands for words of the entry: it is among those that have a word of the token with the fewest entries
+        fewest = min(([w for ws in o for w in ws] for o in options), key=lambda words: sum(len(self.having[w]) for w in words))
+        for key in dict.fromkeys(k for w in fewest for k in self.having[w]):
             cost = self._cover(options, key)
             if cost is not None:
-                scored.append((cost + spare, ref, key))
+                scored.append((cost + spare, self.items[key], key))
         if not scored:
             return 0
         scored.sort(key=lambda x: x[0])
@@ -241,6 +250,7 @@ class CodeResolver:
             self.items.setdefault(code, set()).add(ref)
             self.series.add(re.match(r"[A-Z]*", code)[0])
         self.series.discard("")
+        self.longest = max(map(len, self.series), default=0)
         self.automaton = ahocorasick.Automaton()
         for code in self.items:
             self.automaton.add_word(code, (code, code))
@@ -276,7 +286,7 @@ class CodeResolver:
             if code[0].isdigit():
                 if before.isdigit() or (start and packed[start - 1].isdigit() and at[start] - at[start - 1] <= 2):
                     continue
-                letters = re.search(r"[A-Z]*$", packed[max(0, start - 40) : start])[0]  # no series is as long
+                letters = re.search(r"[A-Z]*$", packed[max(0, start - self.longest - 1) : start])[0]  # one more than any series has
                 if any(letters.endswith(s) and (len(letters) == len(s) or at[start - len(s)] - at[start - len(s) - 1] > 1) for s in self.series):
                     continue
             elif before.isalpha():
@@ -311,19 +321,62 @@ def typed_values(points: DataFrame) -> DataFrame:
     return points.select("record_num", F.posexplode(every).alias("slot", "typed")).where(F.col("typed").isNotNull() & F.col("typed").rlike(r"\S"))
 
 
-def map_points(points: DataFrame, reference: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Aliases:
+    """How names are typed: word -> its spellings, one spelling for several words, marks without a meaning."""
+
+    words: dict[str, list[str]] = field(default_factory=dict)
+    phrases: dict[str, tuple] = field(default_factory=dict)
+    noise: frozenset = frozenset()
+
+    @staticmethod
+    def read(table: DataFrame) -> Aliases:
+        """From a table (spelling, means): one word or several, none for noise; its size is checked."""
+        rows = table.select("spelling", "means").limit(REFERENCE_LIMIT + 1).collect()
+        if len(rows) > REFERENCE_LIMIT:
+            raise ValueError(f"more than {REFERENCE_LIMIT} aliases")
+        words: dict[str, list[str]] = {}
+        phrases, noise = {}, set()
+        for spelling, means in sorted((fold(r["spelling"]), fold(r["means"] or "").split()) for r in rows if r["spelling"]):
+            if not means:
+                noise.add(spelling)
+            elif len(means) == 1:
+                words.setdefault(means[0], []).append(spelling)
+            else:
+                phrases[spelling] = tuple(means)
+        return Aliases(words, phrases, frozenset(noise))
+
+
+POINT_ALIASES = Aliases(POINT_WORDS, POINT_PHRASES, POINT_NOISE)
+#: Resolvers of this process with what they have resolved, by what they were made of: a Python worker keeps them from task to task.
+_RESOLVERS: dict[int, tuple[NameResolver, CodeResolver, dict]] = {}
+
+
+def shared_resolvers(entries: dict[str, list[tuple[int, str]]], aliases: Aliases) -> tuple[NameResolver, CodeResolver, dict]:
+    """The process' resolvers for a reference list; only the latest few lists are kept."""
+    key = hash(repr((sorted(entries.items()), sorted(aliases.words.items()), sorted(aliases.phrases.items()), sorted(aliases.noise))))
+    if key not in _RESOLVERS:
+        if len(_RESOLVERS) > 3:
+            _RESOLVERS.clear()
+        _RESOLVERS[key] = (NameResolver(entries.get("point_name", []), aliases.words, aliases.phrases, aliases.noise), CodeResolver(entries.get("bearing", [])), {})
+    return _RESOLVERS[key]
+
+
+def map_points(points: DataFrame, reference: DataFrame, aliases: Aliases | DataFrame = POINT_ALIASES) -> DataFrame:
     """Every typed name and designation of ``points`` with the entry it means.
 
+    ``aliases``: how names are typed, as such or as a table (spelling, means).
+
     Columns record_num, slot, typed, ref_id; ref_id 0 where no entry, or more than
     one equally, is meant. Null and blank values don't come out; repeated rows come
     out as often as they are there; an empty reference list maps all to 0.
     """
     entries = reference_entries(reference)
+    if isinstance(aliases, DataFrame):
+        aliases = Aliases.read(aliases)
 
     def resolve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = NameResolver(entries.get("point_name", []), POINT_WORDS, POINT_PHRASES, POINT_NOISE)
-        codes = CodeResolver(entries.get("bearing", []))
-        seen: dict[tuple[bool, str], int] = {}
+        names, codes, seen = shared_resolvers(entries, aliases)
         for batch in batches:
             refs = []
             for slot, typed in zip(batch["slot"], batch["typed"], strict=True):
@@ -331,7 +384,7 @@ def map_points(points: DataFrame, reference: DataFrame) -> DataFrame:
                 ref = seen.get(key)
                 if ref is None:
                     ref = (names if slot == 0 else codes).resolve(typed)
-                    if len(seen) < REMEMBERED:
+                    if len(seen) < REMEMBERED and len(typed) < 1000:
                         seen[key] = ref
                 refs.append(ref)
             yield batch.assign(ref_id=pd.Series(refs, dtype="int64", index=batch.index))

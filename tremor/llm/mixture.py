@@ -10,7 +10,7 @@ Documents are laid out by size class, then by hash, so that large and small ones
 drawn evenly and a source's tokens come close to its share.
 
 Scale: token counts are made once and stored. A document's place in its source is the
-offset of its cell (size class x 256 hash slices or more) plus its rank in the cell, so no task
+offset of its cell (size class x 1024 hash slices) plus its rank in the cell, so no task
 holds a whole source; the cells are counted with a map-side combine. What goes to the
 driver is one row per source that a mix names.
 """
@@ -24,8 +24,8 @@ from tremor.llm.encoding import DEFAULT, count_tokens
 from tremor.session import checkpoint
 
 SOURCES_LIMIT = 100_000
-#: Hash slices of a size class, at least; one more for each million documents.
-SLICES = 256
+#: Hash slices of a size class, the same for every corpus, so that a document keeps its place among the others as the corpus grows.
+SLICES = 1024
 
 
 def source_key(source: Column) -> Column:
@@ -90,8 +90,8 @@ def document_places(sized: DataFrame, slices: int = SLICES) -> DataFrame:
     )
 
 
-def _sized(documents: DataFrame, targets: DataFrame, path: str) -> tuple[DataFrame, DataFrame, int]:
-    """Documents with tokens of the sources that a mix names, the plan of all mixes, and hash slices for so many."""
+def _sized(documents: DataFrame, targets: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with tokens of the sources that a mix names, and the plan of all mixes."""
     spark = documents.sparkSession
     wanted = targets.select(
         "mix_name", source_key(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")
@@ -106,16 +106,15 @@ def _sized(documents: DataFrame, targets: DataFrame, path: str) -> tuple[DataFra
     sized = checkpoint(count_tokens(keyed.join(names, "source", "left_semi"), path).where("n_tokens > 0"))
     sizes = {r["source"]: (r["k"], r["n"]) for r in sized.groupBy("source").agg(F.count("*").alias("k"), F.sum("n_tokens").alias("n")).collect()}
     plan = mix_plan([(r["mix_name"], r["source"], r["target_share"], r["max_repeats"]) for r in rows], sizes)
-    slices = max(SLICES, sum(k for k, _ in sizes.values()) // 1_000_000)
-    return sized, spark.createDataFrame([tuple(p.values()) for p in plan], _PLAN), slices
+    return sized, spark.createDataFrame([tuple(p.values()) for p in plan], _PLAN)
 
 
-def _select(sized: DataFrame, plan: DataFrame, slices: int, seed: int) -> DataFrame:
+def _select(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     offset = F.pmod(F.xxhash64("mix_name", "source", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     lines = F.broadcast(plan.where("copies_each > 0").select("mix_name", "source", "copies_each", offset.alias("_u")))  # at most SOURCES_LIMIT rows
     crossed = lambda place: F.floor(place * F.col("copies_each") + F.col("_u"))
     return (
-        document_places(sized, slices)
+        document_places(sized)
         .join(lines, "source")
         .withColumn("copies", (crossed(F.col("place") + 1) - crossed(F.col("place"))).cast("int"))
         .where("copies > 0")
@@ -130,14 +129,13 @@ def mix_sources(documents: DataFrame, targets: DataFrame, path: str = DEFAULT, s
     selected; sources differ neither by case nor by outer blanks; each row of a
     repeated doc_id is a document; a mix whose sources are all empty selects nothing.
     """
-    sized, plan, slices = _sized(documents, targets, path)
-    return _select(sized, plan, slices, seed)
+    return _select(*_sized(documents, targets, path), seed)
 
 
 def mix_report(documents: DataFrame, targets: DataFrame, path: str = DEFAULT, seed: int = 7) -> DataFrame:
     """What each source was asked for and has reached, one row per mix and source."""
-    sized, plan, slices = _sized(documents, targets, path)
-    got = _select(sized, plan, slices, seed).groupBy("mix_name", "source").agg(
+    sized, plan = _sized(documents, targets, path)
+    got = _select(sized, plan, seed).groupBy("mix_name", "source").agg(
         F.count("*").alias("used_documents"), F.sum("copies").alias("copies"), F.max("copies").alias("most_repeats"),
         F.sum(F.col("copies") * F.col("n_tokens")).alias("tokens"),
     )
