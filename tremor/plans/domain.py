@@ -161,17 +161,17 @@ UNION ALL SELECT t, point_record_num, 'band_' || k || '__' || point_record_num,
 SELECT epoch_us(timestamp_utc) AS t, point_record_num, unnest(bands_raw)::DOUBLE AS value, generate_subscripts(bands_raw, 1) - 1 AS k FROM trend_readings) WHERE value IS NOT NULL
 UNION ALL SELECT epoch_us(timestamp_utc), point_record_num, 'load', carga_pct::DOUBLE FROM spectra WHERE carga_pct IS NOT NULL
 UNION ALL SELECT epoch_us(timestamp_utc), point_record_num, 'speed', rpm::DOUBLE / 60 FROM spectra WHERE rpm > 0)
-WHERE t IS NOT NULL AND value BETWEEN 0 AND 1000""")
+WHERE t IS NOT NULL""")
 def trend_long_union(spark, d):
     r = table(spark, d, "trend_readings").select(F.unix_micros("timestamp_utc").alias("t"), "point_record_num", "overall_raw", "bands_raw")
     id_ = F.col("point_record_num").cast("string")
-    overall = r.select("t", "point_record_num", F.concat(F.lit("overall__"), id_).alias("metric_id"), F.col("overall_raw").cast("double").alias("value"))
+    overall = r.select("t", "point_record_num", F.concat(F.lit("overall__"), id_).alias("metric_id"), F.col("overall_raw").cast("double").alias("value")).where("value is not null")
     bands = r.select("t", "point_record_num", F.posexplode("bands_raw").alias("k", "v")).select(
         "t", "point_record_num", F.concat(F.lit("band_"), F.col("k").cast("string"), F.lit("__"), id_).alias("metric_id"), F.col("v").cast("double").alias("value")
     )
     s = table(spark, d, "spectra")
     context = signals.capture_context(s, F.unix_micros("timestamp_utc"), F.col("rpm"), F.col("carga_pct"), ["point_record_num"])
-    return overall.unionByName(bands).unionByName(context).where("t is not null and value between 0 and 1000").distinct()
+    return overall.unionByName(bands).where("value is not null").unionByName(context).where("t is not null").distinct()
 
 
 @query("""WITH s AS (SELECT record_num, unnest(range(13)) AS slot, alert, danger, unit_codes FROM alarm_limit_sets),
@@ -223,10 +223,10 @@ def coherent_summary(spark, d):
 
 
 @query("""SELECT record_num, len(data) AS n, round(list_sum(list_transform(data, lambda x: x::DOUBLE)), 4) AS total FROM (
-SELECT record_num, CASE WHEN n_lines > 0 THEN list_concat(amplitude[1:78], amplitude[79:])[1:least(n_lines, 400)] ELSE amplitude END AS data FROM spectra)""")
+SELECT record_num, CASE WHEN n_lines > 0 THEN list_concat(amplitude[1:78], amplitude[79:])[1:n_lines] ELSE amplitude END AS data FROM spectra)""")
 def spectrum_assemble(spark, d):
     a = F.col("amplitude")
-    data = signals.assembled(F.slice(a, 1, 78), F.slice(a, 79, F.greatest(F.size(a) - 78, F.lit(0))), F.least("n_lines", F.lit(400)))
+    data = signals.assembled(F.slice(a, 1, 78), F.slice(a, 79, F.greatest(F.size(a) - 78, F.lit(0))), F.col("n_lines"))
     s = table(spark, d, "spectra").select("record_num", data.alias("data"))
     return s.select("record_num", F.size("data").cast("long").alias("n"), F.round(F.aggregate("data", F.lit(0.0), lambda x, y: x + y.cast("double")), 4).alias("total"))
 
@@ -298,12 +298,12 @@ def metric_catalog(spark, d):
     return inventory.conflicts(_observations(spark, d), ["normalized_tag"], ["area_code", "area_name", "external_name"])
 
 
-@query("""SELECT 'md-' || substr(sha256('{"spectrum":{"detector":"peak","fmax_hz":' || fmax_hz::BIGINT || ',"fmin_hz":0,"grid_kind":"hz_uniform","lines":' || n_lines || ',"power":false,"signal_family":"velocity"}}'), 1, 16) AS definition_id,
-count(DISTINCT point_record_num) AS points, count(*) AS captures FROM spectra WHERE fmax_hz = floor(fmax_hz) GROUP BY fmax_hz, n_lines""")
+@query("""SELECT 'md-' || substr(sha256('{"spectrum":{"detector":"peak","fmax_hz":' || CASE WHEN fmax_hz = floor(fmax_hz) THEN fmax_hz::BIGINT::VARCHAR ELSE fmax_hz::DOUBLE::VARCHAR END || ',"fmin_hz":0,"grid_kind":"hz_uniform","lines":' || n_lines || ',"power":false,"signal_family":"velocity"}}'), 1, 16) AS definition_id,
+count(DISTINCT point_record_num) AS points, count(*) AS captures FROM spectra WHERE isfinite(fmax_hz) AND n_lines IS NOT NULL GROUP BY fmax_hz, n_lines""")
 def mode_definitions(spark, d):
     from tremor.operators.export_rows import spectrum_definition
 
-    s = table(spark, d, "spectra").where("fmax_hz = floor(fmax_hz)")
+    s = table(spark, d, "spectra").where("fmax_hz is not null and not isnan(fmax_hz) and abs(fmax_hz) < float('inf') and n_lines is not null")
     shapes = s.groupBy("fmax_hz", "n_lines").agg(F.count_distinct("point_record_num").alias("points"), F.count("*").alias("captures"))
     return shapes.select(spectrum_definition(F.lit("velocity"), F.col("fmax_hz"), F.col("n_lines")).alias("definition_id"), "points", "captures")
 
@@ -314,11 +314,13 @@ def sample_ids(spark, d):
     return table(spark, d, "events").select("event_id", F.substring(F.sha1(key), 1, 16).alias("sample_id"))
 
 
-@query("""SELECT document_id, observation_id, trim(c, ' -') AS clause FROM (SELECT DISTINCT document_id, observation_id, unnest(regexp_split_to_array(diagnosis_text, '[.;]+')) AS c
-FROM observations_consolidated) WHERE trim(c, ' -') <> ''""")
+# DuckDB's patterns have no look-behind, so a letter before a dash that opens a new clause is kept by doubling the dash
+@query("""SELECT document_id, observation_id, trim(c, ' -–·' || chr(9) || '/') AS clause FROM (SELECT DISTINCT document_id, observation_id,
+unnest(regexp_split_to_array(regexp_replace(diagnosis_text, '([\\pL\\d_)])(\\s*)-([A-ZÁÉÍÓÚÑ])', '\\1;\\3', 'g'), '[.;\\n]+|\\s+-\\s+')) AS c
+FROM observations_consolidated) WHERE trim(c, ' -–·' || chr(9) || '/') <> ''""")
 def clauses_explode(spark, d):
-    o = _observations(spark, d).select("document_id", "observation_id", F.explode(F.split("diagnosis_text", "[.;]+")).alias("c")).distinct()
-    return o.select("document_id", "observation_id", F.regexp_replace("c", "^[ -]+|[ -]+$", "").alias("clause")).where("clause <> ''")
+    o = _observations(spark, d).select("document_id", "observation_id", "diagnosis_text").distinct()
+    return o.select("document_id", "observation_id", F.explode(findings.clauses(F.col("diagnosis_text"))).alias("clause")).distinct()
 
 
 @query()

@@ -25,11 +25,15 @@ def local_session(cpus: str = "8", partitions: int = 8, app: str = "tremor") ->
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint.
 
-    The folder is the cluster's shared one in ``spark.checkpoint.dir``. Only
-    where that setting is absent (tests, a laptop) a local folder is made.
+    The folder is the cluster's shared one in ``spark.checkpoint.dir``. Only in local
+    mode, where it is unset (tests, a laptop), a local folder is made; on a cluster
+    that is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tremor-ckpt-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tremor-ckpt-"))
     return df.checkpoint()
