@@ -105,23 +105,44 @@ def coherent(value: Column, level: Column, alert: Column, danger: Column) -> Col
     return F.when(alert.isNull() & danger.isNull(), None).when(level == "C", c).otherwise(danger.isNotNull() & (value >= danger))
 
 
-def checked_notes(notes: DataFrame, points: DataFrame, limits: DataFrame) -> DataFrame:
-    """Parsed notes against the overall thresholds of their points, with the reason a note isn't published.
+OVERALL = "OVERALL VALUE"
 
-    Gates in order: in alarm, coherent, unit consistent, dated.
+
+def long_limits(limits: DataFrame) -> DataFrame:
+    """Limit sets of the tables as (limits_index, set_name, slot, alert, danger, code)."""
+    names = limits.select(F.col("record_num").alias("limit_record_num"), "set_name")
+    return slots_of(limits).join(names, "limit_record_num").withColumnRenamed("limit_record_num", "limits_index")
+
+
+def note_thresholds(notes: DataFrame, links: DataFrame, limits: DataFrame, templates: DataFrame) -> DataFrame:
+    """Parsed notes with the slot of the limit set that their band has, and its raw thresholds.
+
+    ``links``: (point_record_num, template_index, limits_index); ``limits``: (limits_index,
+    set_name, slot, alert, danger, code); ``templates``: (template_index, slot, band).
+    The overall has slot 0, a band the slot behind the first template slot of its very
+    name; a band that the template lacks has none, so nothing can be checked.
     """
-    overall = slots_of(limits).where("slot = 0").drop("slot")
-    placed = points.select(F.col("record_num").alias("point_record_num"), "limit_record_num")
-    n = parse_note(notes).join(placed, "point_record_num", "left").join(overall, "limit_record_num", "left")
+    first = templates.groupBy("template_index", F.col("band").alias("note_band")).agg((F.min("slot") + 1).alias("_slot"))
+    linked = notes.join(links, "point_record_num", "left").join(first, ["template_index", "note_band"], "left")
+    placed = linked.withColumn("slot", F.when(F.upper("note_band") == OVERALL, 0).otherwise(F.col("_slot"))).drop("_slot")
+    return placed.join(limits, ["limits_index", "slot"], "left")
+
+
+def checked_notes(notes: DataFrame, links: DataFrame, limits: DataFrame, templates: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Parsed notes against the thresholds of their band, with the reason a note isn't published.
+
+    Thresholds are those of the note's display unit. Gates in order: in alarm,
+    coherent, unit consistent, dated.
+    """
+    n = note_thresholds(parse_note(notes), links, limits, templates)
     velocity = F.col("note_unit") == "mm/s"
     scale = F.when(velocity, F.lit(INCH)).otherwise(F.lit(1.0))
     same = F.coalesce(F.col("code") == F.when(velocity, VELOCITY).otherwise(ACCELERATION), F.lit(False))
-    fits = F.upper("note_band") == "OVERALL VALUE"
-    alert, danger = F.when(fits, F.col("alert") * scale), F.when(fits, F.col("danger") * scale)
+    alert, danger = F.col("alert") * scale, F.col("danger") * scale
     ok = coherent(F.col("note_value"), F.col("note_level"), alert, danger)
     return n.select(
-        "note_id", "point_record_num", "severity", "note_band", "note_value", "note_unit", "note_level",
-        severity_level(F.col("severity")).alias("severity_level"), ok.alias("coherent"), (same & fits).alias("unit_consistent"),
+        *(keep or ["note_id"]), "point_record_num", "severity", "note_band", "note_value", "note_unit", "note_level", "slot", "set_name", alert.alias("note_alert"), danger.alias("note_danger"),
+        severity_level(F.col("severity")).alias("severity_level"), ok.alias("coherent"), same.alias("unit_consistent"),
         F.when(F.col("note_level").isNull(), "not_in_alarm").when(F.coalesce(~ok, F.lit(True)), "incoherent").when(~same, "unit_mismatch")
         .when(F.col("measured_at_utc").isNull(), "undated").alias("reject_reason"),
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from tremor.functions.names import distinct_names
-from tremor.operators import alarms, chains, inventory, signals
+from tremor.operators import alarms, chains, ground_truth, inventory, signals
 from tremor.session import checkpoint
 from tremor.sources import layouts as L
 from tremor.sources.records import decode, decode_text, read_records
@@ -113,6 +113,15 @@ class Database:
         """Machines of areas by the positional pairing of areas and chain heads, in chain and slot order."""
         return self._once("machines", self._machines)
 
+    def _machine_lists(self, listed: DataFrame, chunks: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Chunks along the machine lists, and the lists that are broken: their areas have no machines."""
+
+        def walk() -> tuple[DataFrame, DataFrame]:
+            walked = chains.follow(listed.select("head"), edges, L.CHAIN_CAPS["gicm"])
+            return walked, chains.faults(walked, edges, chunks.select("node"), L.CHAIN_CAPS["gicm"])
+
+        return self._once("gicm", walk)
+
     def _machines(self) -> DataFrame:
         prefixed = self._area_records().where("tag = 'gits'").orderBy("place").limit(1)  # the first of at most two
         heads = prefixed.select(F.posexplode("chains").alias("area_ordinal", "chain_at"))
@@ -120,8 +129,8 @@ class Database:
         listed = heads.join(lists, "chain_at").select("area_ordinal", F.col("list_at").alias("head"))
         chunks = self.tagged("gicm", L.EQUIPMENT_LIST, "node")
         edges = chunks.select("node", "nxt")
-        walked = chains.follow(listed.select("head"), edges, L.CHAIN_CAPS["gicm"])
-        walked = chains.sound(walked, chains.faults(walked, edges, chunks.select("node"), L.CHAIN_CAPS["gicm"]))
+        walked, broken = self._machine_lists(listed, chunks, edges)
+        walked = chains.sound(walked, broken)
         more = decode(self.records().join(chunks.where(F.size("machines") > L.NAMES_HERE).select((F.col("node") + 1).alias("record_num")), "record_num", "left_semi"), L.MORE_NAMES)
         cut = F.pandas_udf(
             lambda here, there: pd.Series([cut_names(a, L.NAME_SLOT, L.NAMES_HERE) + cut_names(b, L.NAME_SLOT, 8) for a, b in zip(here, there, strict=True)]),
@@ -309,6 +318,16 @@ class Database:
             when("measured_raw").alias("measured_at_utc"), when("review_raw").alias("review_at_utc"), F.trim(lines).alias("note_text"),
         )
 
+    def checked_notes(self) -> DataFrame:
+        """Notes against the thresholds of the band they name, with the reason a note isn't published."""
+        links = self.links().select(F.col("record_num").alias("point_record_num"), "template_index", "limits_index")
+        keep = ["machine_id", "point_id", "note_text", "measured_at_utc"]
+        return alarms.checked_notes(self.notes(), links, self.limits(), self.templates(), keep)
+
+    def alarm_observations(self, document_id: str) -> DataFrame:
+        """Observations of the alarms that passed all gates, in the order of their ids."""
+        return ground_truth.alarm_observations(self.checked_notes(), self.points(), document_id)
+
     # --- inventories
 
     def summaries(self) -> DataFrame:
@@ -318,9 +337,11 @@ class Database:
         return inventory.type_summary(rows[0].unionByName(rows[1]).unionByName(rows[2]), ["machine_id", "point_id", "kind"], "at")
 
     def faults(self) -> DataFrame:
-        """Heads of broken chains by kind."""
+        """Heads of broken chains by kind, those of machine lists among them."""
+        self.machines()
+        lists = self._made["gicm"][1].withColumn("chain", F.lit("gicm"))
         parts = [self._chain(first, tag, fields)[1].withColumn("chain", F.lit(tag)) for first, tag, fields in (("fft_first", "vdps", L.SPECTRUM), ("wave_first", "vdfw", L.WAVE), ("trend_first", "vddt", L.TREND))]
-        return parts[0].unionByName(parts[1]).unionByName(parts[2])
+        return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(lists)
 
 
 def display_unit(units: Column) -> Column:

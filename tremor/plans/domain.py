@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremor.functions import names
@@ -200,26 +200,46 @@ def alarm_note_parse(spark, d):
     return alarms.parse_note(table(spark, d, "alarm_notes")).select("note_id", "note_band", "note_value", "note_unit", "note_level")
 
 
-_CHECKED = f"""{_NOTE}, j AS (SELECT n.*, l.unit_codes[1] AS code, upper(note_band) = 'OVERALL VALUE' AS fits,
-CASE WHEN upper(note_band) = 'OVERALL VALUE' AND l.alert[1] > 0 THEN l.alert[1]::DOUBLE * CASE WHEN note_unit = 'mm/s' THEN 25.4 ELSE 1 END END AS a,
-CASE WHEN upper(note_band) = 'OVERALL VALUE' AND l.danger[1] > 0 THEN l.danger[1]::DOUBLE * CASE WHEN note_unit = 'mm/s' THEN 25.4 ELSE 1 END END AS b
-FROM n LEFT JOIN points p ON p.record_num = n.point_record_num LEFT JOIN alarm_limit_sets l ON l.record_num = p.limit_record_num),
+# a template per limit set: the bands its notes name, in order, as far as the set has slots
+_CHECKED = f"""{_NOTE}, i AS (SELECT n.*, p.limit_record_num FROM n LEFT JOIN points p ON p.record_num = n.point_record_num),
+t AS (SELECT limit_record_num, note_band, row_number() OVER (PARTITION BY limit_record_num ORDER BY note_band) AS slot FROM (
+SELECT DISTINCT limit_record_num, note_band FROM i WHERE limit_record_num IS NOT NULL AND note_band IS NOT NULL AND upper(note_band) <> 'OVERALL VALUE') QUALIFY slot <= 12),
+s AS (SELECT i.*, CASE WHEN upper(i.note_band) = 'OVERALL VALUE' THEN 0 ELSE t.slot END AS slot FROM i LEFT JOIN t ON t.limit_record_num = i.limit_record_num AND t.note_band = i.note_band),
+j AS (SELECT s.*, l.unit_codes[slot + 1] AS code,
+CASE WHEN l.alert[slot + 1] > 0 THEN l.alert[slot + 1]::DOUBLE * CASE WHEN note_unit = 'mm/s' THEN 25.4 ELSE 1 END END AS a,
+CASE WHEN l.danger[slot + 1] > 0 THEN l.danger[slot + 1]::DOUBLE * CASE WHEN note_unit = 'mm/s' THEN 25.4 ELSE 1 END END AS b
+FROM s LEFT JOIN alarm_limit_sets l ON l.record_num = s.limit_record_num),
 k AS (SELECT *, CASE WHEN a IS NULL AND b IS NULL THEN NULL WHEN note_level = 'C' THEN a IS NOT NULL AND a <= note_value AND (b IS NULL OR note_value < b) ELSE b IS NOT NULL AND note_value >= b END AS ok,
 coalesce(code = CASE WHEN note_unit = 'mm/s' THEN 1 ELSE 3 END, false) AS same FROM j),
 r AS (SELECT *, CASE WHEN note_level IS NULL THEN 'not_in_alarm' WHEN coalesce(NOT ok, true) THEN 'incoherent' WHEN NOT same THEN 'unit_mismatch' WHEN measured_at_utc IS NULL THEN 'undated' END AS reject_reason FROM k)"""
 
 
+def _checked(spark, d):
+    notes, points, limits = (table(spark, d, n) for n in ("alarm_notes", "points", "alarm_limit_sets"))
+    links = points.select(F.col("record_num").alias("point_record_num"), F.col("limit_record_num").alias("template_index"), F.col("limit_record_num").alias("limits_index"))
+    bands = alarms.parse_note(notes).join(links, "point_record_num").where(f"template_index is not null and note_band is not null and upper(note_band) <> '{alarms.OVERALL}'")
+    slot = F.row_number().over(Window.partitionBy("template_index").orderBy("band")) - 1
+    templates = bands.select("template_index", F.col("note_band").alias("band")).distinct().withColumn("slot", slot).where("slot < 12")
+    return alarms.checked_notes(notes, links, alarms.long_limits(limits), templates)
+
+
 @query(f"{_CHECKED} SELECT note_id, note_band, note_level, CASE WHEN severity > 40 THEN 'D' WHEN severity > 0 THEN 'C' END AS severity_level, ok AS coherent, reject_reason FROM r")
 def alarm_note_checks(spark, d):
-    c = alarms.checked_notes(table(spark, d, "alarm_notes"), table(spark, d, "points"), table(spark, d, "alarm_limit_sets"))
-    return c.select("note_id", "note_band", "note_level", "severity_level", "coherent", "reject_reason")
+    return _checked(spark, d).select("note_id", "note_band", "note_level", "severity_level", "coherent", "reject_reason")
+
+
+@query(f"""{_CHECKED} SELECT note_id, note_band, slot::INT AS slot, round(a, 6) AS alert, round(b, 6) AS danger, same AS unit_consistent, ok AS coherent FROM r
+WHERE note_band IS NOT NULL AND upper(note_band) <> 'OVERALL VALUE'""")
+def alarm_note_band_checks(spark, d):
+    c = _checked(spark, d).where(f"note_band is not null and upper(note_band) <> '{alarms.OVERALL}'")
+    return c.select("note_id", "note_band", "slot", F.round("note_alert", 6).alias("alert"), F.round("note_danger", 6).alias("danger"), "unit_consistent", "coherent")
 
 
 @query(f"""{_CHECKED} SELECT count(*) AS notes, count(note_level) AS alarms, count(*) FILTER (reject_reason = 'incoherent') AS incoherent,
 count(*) FILTER (reject_reason = 'unit_mismatch') AS unit_mismatch, count(*) FILTER (reject_reason IS NULL) AS emitted,
 round(CASE WHEN count(note_level) = 0 THEN 0 ELSE 100.0 * (count(note_level) - count(*) FILTER (reject_reason = 'incoherent')) / count(note_level) END, 6) AS coherent_pct FROM r""")
 def coherent_summary(spark, d):
-    return alarms.coherence_summary(alarms.checked_notes(table(spark, d, "alarm_notes"), table(spark, d, "points"), table(spark, d, "alarm_limit_sets")))
+    return alarms.coherence_summary(_checked(spark, d))
 
 
 @query("""SELECT record_num, len(data) AS n, round(list_sum(list_transform(data, lambda x: x::DOUBLE)), 4) AS total FROM (
