@@ -60,27 +60,31 @@ def slug(text: Column) -> Column:
 def distinct_names(df: DataFrame, group: list[str], order: list[str], name: str, out: str) -> DataFrame:
     """File names that are distinct within a group: a repeated one gets the next free suffix in ``order``.
 
-    A suffix may itself be taken (A, A, A_1 gives A, A_1, A_1_1), so each group is
-    folded in order in one task; groups are lists of names of one owner. Only the
-    names go there: equal names in one group differ by their order columns.
+    A suffix may itself be taken (A, A, A_1 gives A, A_1, A_1_1), so names are folded
+    in order. Names can only meet where they are the same but for numbers at the end,
+    so each such family of a group is folded by itself.
     """
     columns = [*group, *order, name]
+    based = df.select(*columns, file_names(name).alias("_base"))
+    keyed = based.withColumn("_family", F.regexp_replace("_base", r"(_\d+)+$", ""))
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(order, kind="stable")
         used: set[str] = set()
+        last: dict[str, int] = {}
         names = []
-        for base in rows[name].map(file_name):
-            candidate, k = base, 0
+        for base in rows["_base"]:
+            candidate, k = base, last.get(base, 0)
             while candidate in used:
                 k += 1
                 candidate = f"{base}_{k}"
+            last[base] = k
             used.add(candidate)
             names.append(candidate)
-        return rows.assign(**{out: names})
+        return rows[columns].assign(**{out: names})
 
     schema = df.select(*columns).schema.add(out, "string")
-    return df.select(*columns).groupBy(*group).applyInPandas(fold, schema)
+    return keyed.groupBy(*group, "_family").applyInPandas(fold, schema)
 
 
 FIELDS = ("location", "direction", "component", "acquisition")

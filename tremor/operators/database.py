@@ -8,8 +8,6 @@ instead of stopping the rest.
 
 from __future__ import annotations
 
-
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -105,8 +103,8 @@ class Database:
     def areas(self) -> DataFrame:
         """area_ordinal, area_name, area_code in the order of record and slot."""
         parse = F.udf(area_slots, "array<struct<slot:int,name:string>>")  # two records
-        slots = self._area_records().select("record_num", F.inline(parse("slots"))).withColumn("one", F.lit(0))
-        coded = distinct_names(slots.withColumnRenamed("name", "area_name"), ["one"], ["record_num", "slot"], "area_name", "area_code")
+        slots = self._area_records().select("record_num", F.inline(parse("slots")))
+        coded = distinct_names(slots.withColumnRenamed("name", "area_name"), [], ["record_num", "slot"], "area_name", "area_code")
         return coded.select((F.row_number().over(Window.orderBy("record_num", "slot")) - 1).alias("area_ordinal"), "area_name", "area_code")
 
     def machines(self) -> DataFrame:
@@ -141,10 +139,9 @@ class Database:
             listed.join(walked, "head").join(named, "node")
             .select("area_ordinal", "hop", F.posexplode("machines").alias("slot", "machine_at"), "names")
             .select("area_ordinal", "hop", "slot", "machine_at", F.element_at("names", F.col("slot") + 1).alias("machine_name"))
-            .withColumn("one", F.lit(0))
         )
-        coded = distinct_names(rows, ["one"], ["area_ordinal", "hop", "slot"], "machine_name", "machine_id").drop("one")
-        return rows.drop("one", "machine_name").join(coded, ["area_ordinal", "hop", "slot"]).join(self.areas(), "area_ordinal")
+        coded = distinct_names(rows, [], ["area_ordinal", "hop", "slot"], "machine_name", "machine_id")
+        return rows.drop("machine_name").join(coded, ["area_ordinal", "hop", "slot"]).join(self.areas(), "area_ordinal")
 
     def points(self) -> DataFrame:
         """Points with codes that are distinct within their machine, bearings and nominal speed."""

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tremor.operators import ground_truth
+
 KEPT = ("ground-truth", "analysis")
 
 
@@ -90,19 +92,96 @@ def sha256_of(path: str) -> str:
     return digest.hexdigest()
 
 
-def write_manifest(out: str, tables: dict[str, int], inputs: list[str], policy: str = "dedup-primary-latest/1.0") -> dict:
+def _sha256_of_parts(path: str) -> str:
+    """Digest of a file, or of all data files of a folder in the order of their names."""
+    if os.path.isfile(path):
+        return sha256_of(path)
+    digest = hashlib.sha256()
+    for part in sorted(Path(path).rglob("*.parquet")):
+        digest.update(bytes.fromhex(sha256_of(str(part))))
+    return digest.hexdigest()
+
+
+def _write_json(path: Path, body: dict) -> None:
+    part = path.with_suffix(".part")
+    part.write_text(json.dumps(body, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
+    os.replace(part, path)
+
+
+def utc_now() -> str:
+    return datetime.now(UTC).isoformat(timespec="seconds").replace("+00:00", "Z")
+
+
+def write_manifest(out: str, tables: dict[str, int], inputs: list[str], policy: str = "dedup-primary-latest/1.0", counts: dict[str, int] | None = None) -> dict:
     """What was made of what: hashes and row counts."""
     body = {
-        "created_at": datetime.now(UTC).isoformat().replace("+00:00", "Z"),
+        "created_at": utc_now(),
         "policy": policy,
-        "inputs": [{"path": os.path.basename(p), "sha256": sha256_of(p)} for p in sorted(inputs)],
-        "outputs": [{"path": name, "rows": n} for name, n in sorted(tables.items())],
+        "inputs": [{"path": os.path.basename(p), "sha256": sha256_of(p)} | ({"observations": (counts or {}).get(os.path.basename(p), 0)} if counts is not None else {}) for p in sorted(inputs)],
+        "outputs": [{"path": name, "rows": n} | ({"sha256": _sha256_of_parts(f"{out}/{name}")} if os.path.exists(f"{out}/{name}") else {}) for name, n in sorted(tables.items())],
     }
     Path(out).mkdir(parents=True, exist_ok=True)
-    (Path(out) / "materialization.json").write_text(json.dumps(body, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
+    _write_json(Path(out) / "materialization.json", body)
     return body
 
 
+#: Projections of earlier formats, put away when the tables are written anew. Fixed values.
+LEGACY = ("observations.csv", "findings.csv", "observations_system.csv", "observations_system.parquet")
+TABLES = {"observations.parquet": ground_truth.OBSERVATIONS, "observations_consolidated.parquet": ground_truth.CONSOLIDATED, "findings.parquet": ground_truth.FINDINGS}
+
+
+def read_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
+    """(normalized_tag, dataset_machine_id) of the folder's crosswalk.csv, trimmed, without blanks; empty without the file."""
+    path = f"{folder}/crosswalk.csv"
+    if not os.path.exists(path):
+        return spark.createDataFrame([], "normalized_tag string, dataset_machine_id string")
+    rows = spark.read.option("header", "true").csv(path)
+    both = rows.select(F.trim("normalized_tag").alias("normalized_tag"), F.trim("dataset_machine_id").alias("dataset_machine_id"))
+    return both.where("normalized_tag <> '' and dataset_machine_id <> ''")
+
+
+def ground_truth_tables(diagnoses: DataFrame, crosswalk: DataFrame) -> dict[str, DataFrame]:
+    """The three tables of diagnosis documents: all observations, the consolidated ones, the findings."""
+    rows = observation_rows(diagnoses)
+    whole = ground_truth.with_machines(rows, crosswalk)
+    beside = whole.select("document_id", "observation_id", "place", "dataset_machine_id", "observed_at", "modality", "record_kind")
+    found = finding_rows(diagnoses).join(beside, ["document_id", "observation_id", "place"])
+    frames = (whole, ground_truth.consolidated(whole), found)
+    return {name: ground_truth.conforming(df, schema) for (name, schema), df in zip(TABLES.items(), frames, strict=True)}
+
+
+def materialize(spark: SparkSession, folder: str, crosswalk: DataFrame | None = None) -> dict:
+    """Writes the tables of all documents (``*.json``) of a folder and the manifest of what was made of what.
+
+    Each table is a Parquet folder (zstd) with the contract's columns; a folder without
+    documents is an error; projections of earlier formats go.
+    """
+    inputs = sorted(str(p) for p in Path(folder).glob("*.json") if p.name != "materialization.json")
+    if not inputs:
+        raise ValueError(f"no documents in {folder}")
+    diagnoses = spark.read.schema(DIAGNOSES).option("multiLine", "true").json(inputs).withColumn("_file", F.input_file_name())
+    tables = ground_truth_tables(diagnoses, read_crosswalk(spark, folder) if crosswalk is None else crosswalk)
+    rows = {}
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
+        rows[name] = spark.read.parquet(f"{folder}/{name}").count()
+    per_file = {os.path.basename(r["_file"]): r["n"] for r in diagnoses.select("_file", F.coalesce(F.size("observations"), F.lit(0)).alias("n")).collect()}  # one row per document
+    for name in LEGACY:
+        old = Path(folder) / name
+        if old.is_file():
+            old.unlink()
+    return write_manifest(folder, rows, inputs, counts=per_file)
+
+
+def write_document(path: str, document: DataFrame, meta: dict | None = None) -> None:
+    """One document as JSON: the row of ``document`` without nulls, beside what ``meta`` says."""
+    rows = document.limit(2).toJSON().collect()
+    if len(rows) != 1:
+        raise ValueError("a document is one row")
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    _write_json(Path(path), (meta or {}) | json.loads(rows[0]))
+
+
 def _entries(root: Path) -> Iterator[Path]:
     for path in sorted(root.rglob("*")):
         if path.is_symlink():
@@ -159,5 +238,5 @@ def observation_rows(diagnoses: DataFrame) -> DataFrame:
 
 def finding_rows(diagnoses: DataFrame) -> DataFrame:
     """One row per finding with its contiguous index in its observation."""
-    o = diagnoses.select("provenance.document_id", F.explode("observations").alias("o"))
-    return o.select("document_id", "o.observation_id", F.posexplode("o.findings").alias("finding_index", "f")).select("document_id", "observation_id", "finding_index", "f.*")
+    o = diagnoses.select("provenance.document_id", F.posexplode("observations").alias("place", "o"))
+    return o.select("document_id", "o.observation_id", "place", F.posexplode("o.findings").alias("finding_index", "f")).select("document_id", "observation_id", "place", "finding_index", "f.*")
