@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from tremor.functions.names import distinct_names
 from tremor.operators import alarms, chains, ground_truth, inventory, signals
-from tremor.session import checkpoint
+from tremor.session import checkpoint, shared_folder
 from tremor.sources import layouts as L
 from tremor.sources.records import decode, decode_text, read_records
 
@@ -77,12 +77,21 @@ class Database:
             self._made[name] = tuple(map(checkpoint, made)) if isinstance(made, tuple) else checkpoint(made)
         return self._made[name]
 
-    def tagged(self, tag: str, fields: list, as_: str = "record_num") -> DataFrame:
-        """Records of one tag cut by a layout."""
-        return decode(read_records(self.spark, self.path, [tag]), fields).withColumnRenamed("record_num", as_)
-
     def records(self) -> DataFrame:
-        return read_records(self.spark, self.path)
+        """All records by tag, stored once: the file itself is read a single time.
+
+        Records of other tags than the layouts' share one part.
+        """
+        if "records" not in self._made:
+            folder = shared_folder(self.spark, "records")
+            part = F.when(F.col("tag").isin(*L.TAGS), F.col("tag")).otherwise("other")
+            read_records(self.spark, self.path).withColumn("part", part).write.partitionBy("part").parquet(folder)
+            self._made["records"] = self.spark.read.schema("record_num bigint, tag string, rec binary, part string").parquet(folder)
+        return self._made["records"]
+
+    def tagged(self, tag: str, fields: list, as_: str = "record_num") -> DataFrame:
+        """Records of one tag cut by a layout; only their part is read."""
+        return decode(self.records().where(F.col("part") == tag), fields).withColumnRenamed("record_num", as_)
 
     def header(self) -> DataFrame:
         """Record 0; a file without the signature is an error."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tremor.plans import data_quality, domain
+from tremor.plans import data_quality, domain, records
 
-_PARTS = [data_quality, domain]
+_PARTS = [data_quality, domain, records]
 
 QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 SQL = {name: sql for part in _PARTS for name, sql in part.SQL.items()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,18 +23,23 @@ def local_session(cpus: str = "8", partitions: int = 8, app: str = "tremor") ->
     )
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for stored tables, within the folder of checkpoints.
 
-    The folder is the cluster's shared one in ``spark.checkpoint.dir``. Only in local
-    mode, where it is unset (tests, a laptop), a local folder is made; on a cluster
-    that is an error.
+    That is the cluster's shared one in ``spark.checkpoint.dir``. Only in local mode,
+    where it is unset (tests, a laptop), a local folder is made; on a cluster that is
+    an error.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared and not sc.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tremor-ckpt-"))
+    return f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession, "")
     return df.checkpoint()

@@ -51,6 +51,7 @@ STATUS = [
 ]
 NOTE = [F("text", 0x18, "text", 488)]
 CHAIN_CAPS = {"vdps": 4096, "vdfw": 4096, "vddt": 4096, "vcps": 256, "vcfw": 256, "gicm": 256}
+TAGS = ("gits", "gdts", "gicm", "gdcm", "gipm", "vdpm", "pdcd", "vdps", "vcps", "vdfw", "vcfw", "vddt", "pdpa", "pdla", "gdsc", "gdnl")
 VELOCITY_UNITS, ACCELERATION_UNITS = ("plg/segs", "in/sec", "pul/sg"), ("G's",)
 SPECTRUM_VELOCITY, SPECTRUM_ACCELERATION, INCH = 48.5, 1.30, 25.4
 # End of the fixed values.
