@@ -68,23 +68,25 @@ def distinct_names(df: DataFrame, group: list[str], order: list[str], name: str,
     based = df.select(*columns, file_names(name).alias("_base"))
     keyed = based.withColumn("_family", F.regexp_replace("_base", r"(_\d+)+$", ""))
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        used: set[str] = set()
-        last: dict[str, int] = {}
-        names = []
-        for base in rows["_base"]:
-            candidate, k = base, last.get(base, 0)
-            while candidate in used:
-                k += 1
-                candidate = f"{base}_{k}"
-            last[base] = k
-            used.add(candidate)
-            names.append(candidate)
-        return rows[columns].assign(**{out: names})
-
-    schema = df.select(*columns).schema.add(out, "string")
-    return keyed.groupBy(*group, "_family").applyInPandas(fold, schema)
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, used, last = None, set(), {}
+        for rows in batches:  # families stand one after the other
+            names = []
+            for key, base in zip(zip(*(rows[c] for c in [*group, "_family"]), strict=True), rows["_base"], strict=True):
+                key = tuple(None if pd.isna(k) else k for k in key)
+                if key != current:
+                    current, used, last = key, set(), {}
+                candidate, k = base, last.get(base, 0)
+                while candidate in used:
+                    k += 1
+                    candidate = f"{base}_{k}"
+                last[base] = k
+                used.add(candidate)
+                names.append(candidate)
+            yield rows[columns].assign(**{out: pd.Series(names, index=rows.index, dtype=object)})
+
+    placed = keyed.repartition(*group, "_family").sortWithinPartitions(*group, "_family", *order)
+    return placed.mapInPandas(fold, df.select(*columns).schema.add(out, "string"))
 
 
 FIELDS = ("location", "direction", "component", "acquisition")

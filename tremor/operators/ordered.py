@@ -41,10 +41,18 @@ def shifted_dates(df: DataFrame, keys: list[str], order: str, next_at: str, firs
 
 
 def take_while(df: DataFrame, keys: list[str], order: list[str], valid: Column) -> DataFrame:
-    """Rows up to the first that isn't valid; a null isn't."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ok = F.min(F.coalesce(valid, F.lit(False)).cast("int")).over(w)
-    return df.withColumn("_ok", ok).where("_ok = 1").drop("_ok")
+    """Rows up to the first that isn't valid; a null isn't.
+
+    The first that isn't valid is an aggregate that combines before the shuffle, so a
+    key with many rows is no window of its own.
+    """
+    place = F.struct(*order)
+    bad = df.where(~F.coalesce(valid, F.lit(False)))
+    stop = bad.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(place).alias("_stop"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(stop, same, "left").where(F.col("_stop").isNull() | (place < F.col("_stop"))).drop("_stop", *[f"_{k}" for k in keys])
 
 
 def skip_then_take(df: DataFrame, keys: list[str], order: str, valid: Column) -> DataFrame:
@@ -61,7 +69,10 @@ def skip_then_take(df: DataFrame, keys: list[str], order: str, valid: Column) ->
 
 
 def longest_per_key(df: DataFrame, keys: list[str], text: str, order: Iterable[Column]) -> DataFrame:
-    """The longest text of each key, the first of equals."""
+    """The longest text of each key, the first of equals.
+
+    The planner keeps the best of each key before the shuffle, so few texts travel.
+    """
     return best_per_key(df.where(F.col(text).isNotNull()), keys, [F.desc(F.length(text)), *order])
 
 
