@@ -161,6 +161,14 @@ def test_chains(spark):
     assert sound.where("head = 1").count() == 40 and {(r["node"], r["hop"]) for r in sound.where("head = 30").collect()} == {(30 + i, i) for i in range(11)}
 
 
+def test_debug_walk(spark):
+    rec = lambda n: bytearray(b"..") + n.to_bytes(4, "little")
+    df = spark.createDataFrame([(1, rec(2)), (2, rec(3)), (3, rec(1)), (4, rec(0)), (5, rec(99))], "record_num long, rec binary")
+    assert chains.debug_walk(df, 1, 2) == [(1, 2, None), (2, 3, None), (3, 1, None), (1, None, "cycle")]
+    assert chains.debug_walk(df, 1, 2, 2) == [(1, 2, None), (2, 3, "max steps")]
+    assert chains.debug_walk(df, 4, 2) == [(4, 0, "end")] and chains.debug_walk(df, 5, 2)[-1] == (99, None, "out of range")
+
+
 def test_inventory(spark):
     df = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (2, "b", None), (2, "b", None)], "k long, p string, q string")
     assert rows(inventory.conflicts(df, ["k"], ["p", "q"])) == [(1, ["q"])]

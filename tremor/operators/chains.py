@@ -45,3 +45,29 @@ def faults(chains: DataFrame, edges: DataFrame, nodes: DataFrame, cap: int = 409
 def sound(chains: DataFrame, broken: DataFrame) -> DataFrame:
     """Chains without those that are broken anywhere."""
     return chains.join(broken.select("head").distinct(), "head", "left_anti")
+
+
+def debug_walk(records: DataFrame, start: int, at: int, max_steps: int = 32) -> list[tuple[int, int | None, str | None]]:
+    """(record, what is stored as next, why the walk stops there) of at most ``max_steps`` records from one on.
+
+    For looking at single chains: each step looks one record up. The number at byte
+    ``at`` is taken as it is, 0 ends the chain.
+    """
+    out: list[tuple[int, int | None, str | None]] = []
+    seen: set[int] = set()
+    current = start
+    while len(out) < max_steps:
+        if current in seen:
+            out.append((current, None, "cycle"))
+            return out
+        row = records.where(F.col("record_num") == current).select("rec").first()
+        if row is None:
+            out.append((current, None, "out of range"))
+            return out
+        seen.add(current)
+        stored = int.from_bytes(bytes(row["rec"])[at : at + 4], "little")
+        out.append((current, stored, "end" if stored == 0 else None))
+        if stored == 0:
+            return out
+        current = stored
+    return [*out[:-1], (*out[-1][:2], out[-1][2] or "max steps")]

@@ -73,6 +73,37 @@ def write_machines(df: DataFrame, machines: DataFrame, out: str, table: str, ord
     return all_.groupBy("machine_id").applyInPandas(write, "machine_id string, rows long, error string")
 
 
+def write_texts(df: DataFrame, out: str, name: str | None) -> DataFrame:
+    """One text file per row of (machine_id, document): ``machine=<id>/<name>``, or ``<id>.json`` without a name.
+
+    As rows of ``write_machines``: machine_id, rows, error, table.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            done = []
+            for machine, document in zip(rows["machine_id"], rows["document"], strict=True):
+                target = Path(out) / f"machine={machine}" / name if name else Path(out) / f"{machine}.json"
+                try:
+                    target.parent.mkdir(parents=True, exist_ok=True)
+                    part = target.with_suffix(f".{os.getpid()}.part")
+                    part.write_text(json.dumps(json.loads(document), ensure_ascii=False, indent=2) + "\n", encoding="utf-8")
+                    os.replace(part, target)
+                    done.append((machine, 1, None))
+                except (OSError, ValueError) as e:
+                    done.append((machine, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(done, columns=["machine_id", "rows", "error"])
+
+    return df.select("machine_id", "document").mapInPandas(write, "machine_id string, rows long, error string").withColumn("table", F.lit(name or "document"))
+
+
+def single_file(folder: str, target: str) -> None:
+    """The one data file of a folder written by one task, put in its place under a name of its own."""
+    (part,) = [p for p in Path(folder).iterdir() if p.name.startswith("part-")]
+    os.replace(part, target)
+    shutil.rmtree(folder)
+
+
 def read_machines(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A table of all machines with the machine as text, whatever it looks like."""
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
