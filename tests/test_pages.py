@@ -91,3 +91,63 @@ def test_fragments_and_samples(spark):
     assert pages.sampled(lines, "document_id", 2, 7).count() == 2 and rows(pages.sampled(lines, "document_id", 2, 7)) == rows(pages.sampled(lines, "document_id", 2, 7))
     v = pages.verbatim(spark.createDataFrame([("a b", "x a  b y"), ("q", "x")], "t string, s string"), "t", "s")
     assert [r["found"] for r in v.collect()] == [True, False]
+
+
+FRONT = [
+    [*line("REF: INF-2026-01", 50, 60), *line("CLIENTE: Planta Norte", 50, 80), *line("FECHA INSPECCIÓN: 26/01/2026", 50, 100), *line("Inspección de vibraciones", 50, 120)],
+    [*line("Índice", 50, 60), *line("- no es lista", 50, 80)],
+    [*line("Este informe presenta los resultados entre el 01/01/2026 y el 20/01/2026.", 50, 60), *line("* Ruta A", 50, 80), *line("* Ruta B", 50, 100), *line("Análisis realizados por: Ana", 50, 120),
+     *line("Máquinas Paradas", 50, 140), *line("- Bomba 1", 50, 160)],
+    [*line("- Bomba 2", 50, 60), *line("- Bomba 1", 50, 80), *line("Máquinas No Medidas", 50, 100), *line("- Molino", 50, 120), *line("Resumen", 50, 140), *line("- nada", 50, 160)],
+    [*line("Global Inspecciones", 50, 60), *line("Revisión realizada por: Eva", 50, 80)],
+]
+
+
+def test_front_matter(spark):
+    f = pages.front_matter(pages_of(spark, *FRONT)).first().asDict()
+    assert (f["document_ref"], f["client"], f["inspection_date"], f["document_title"], f["period_from"], f["period_to"]) == ("INF-2026-01", "Planta Norte", "2026-01-26", "Inspección de vibraciones", "2026-01-01", "2026-01-20")
+    assert f["routes"] == ["Ruta A", "Ruta B"] and f["analysts"] == ["Ana"] and f["reviewers"] == ["Eva"]
+    assert f["machines_stopped"] == ["Bomba 1", "Bomba 2"] and f["machines_not_measured"] == ["Molino"]
+    assert pages.front_matter(pages_of(spark, line("nada", 50, 60))).first()["routes"] == []
+
+
+def test_reports_to_tables(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from tremor import cli
+
+    words = str(tmp_path / "words.parquet")
+    pages_of(spark, FRONT[0], MACHINE, CONTINUED).write.parquet(words)
+    out = tmp_path / "truth"
+    assert [r["error"] for r in cli.reports(spark, SimpleNamespace(path=words, out=str(out))).collect()] == [None]
+    o = spark.read.parquet(f"{out}/observations.parquet")
+    got = rows(o.select("observation_id", "record_kind", "status", "observed_at", "n_findings"))
+    assert got == [
+        ("INF202601:PM1250A:ultrasound:2023-12-05", "retrospective", "UNKNOWN", "2023-12-05", 1), ("INF202601:PM1250A:vibration", "primary", "ALERT", "2026-01-26", 1),
+        ("INF202601:PM1250A:vibration:2024-01-01", "retrospective", "UNKNOWN", "2024-01-01", 1), ("INF202601:PM1250A:vibration:2024-02-01", "retrospective", "STOPPED", "2024-02-01", 0),
+    ]
+    assert rows(spark.read.parquet(f"{out}/findings.parquet").select("mapping_rule")) == [("GT001v2",), ("GT004v2",), ("GT024",)]
+    lost = str(tmp_path / "lost.parquet")
+    pages_of(spark, [*MACHINE, *line("-01/02/2020: (Vibraciones) antes", 50, 50)]).write.parquet(lost)
+    with pytest.raises(cli.CommandError, match="lost on d page 1"):
+        cli.reports(spark, SimpleNamespace(path=lost, out=str(out)))
+
+
+def test_weights_command(spark, tmp_path):
+    import json
+    from types import SimpleNamespace
+
+    from tremor import cli
+
+    words = str(tmp_path / "words.parquet")
+    pages_of(spark, FRONT[0], MACHINE).write.parquet(words)
+    out = str(tmp_path / "truth")
+    cli.reports(spark, SimpleNamespace(path=words, out=out))
+    overlay = tmp_path / "overlay.json"
+    overlay.write_text(json.dumps({"kind": "weight_overlay", "$overlay_version": "0.1.0", "judgements": [{"diagnosis_text": "-Desequilibrio del rotor.", "findings": [{"finding": "IMBALANCE:IMBALANCE", "score": 1}]}]}))
+    new = str(tmp_path / "new")
+    assert cli.weights(spark, SimpleNamespace(path=out, overlay=str(overlay), out=new)).count() == 1
+    assert spark.read.parquet(f"{new}/findings.parquet").where("weight <> 1.0").count() == 0
+    overlay.write_text(json.dumps({"kind": "x", "$overlay_version": "9", "judgements": []}))
+    with pytest.raises(cli.CommandError, match="unusable"):
+        cli.weights(spark, SimpleNamespace(path=out, overlay=str(overlay), out=new))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremor.functions import names
-from tremor.operators import alarms, chains, crosswalk, findings, history, inventory, ordered, signals
+from tremor.operators import alarms, chains, crosswalk, documents, findings, ground_truth, history, inventory, ordered, signals
 from tremor.plans.tables import table
+from tremor.session import shared_folder
 
 QUERIES = {}
 SQL = {}
@@ -475,3 +476,69 @@ def text_spans(spark, d):
 UNION ALL SELECT point_record_num, epoch_us(timestamp_utc), 'speed', rpm::DOUBLE / 60.0 FROM spectra WHERE rpm > 0 GROUP BY ALL""")
 def capture_context(spark, d):
     return signals.capture_context(table(spark, d, "spectra"), F.unix_micros("timestamp_utc"), F.col("rpm"), F.col("carga_pct"), ["point_record_num"])
+
+
+@query("""SELECT normalized_tag AS machine_id, record_num, long_name, short_code, nominal_speed_rpm FROM points WHERE normalized_tag IS NOT NULL""")
+def partition_roundtrip(spark, d):
+    """Points written by machine as partition folders and read back, the machine as text."""
+    p = table(spark, d, "points").where("normalized_tag is not null").select(F.col("normalized_tag").alias("machine"), "record_num", "long_name", "short_code", "nominal_speed_rpm")
+    folder = shared_folder(spark, "points")
+    p.repartition("machine").write.partitionBy("machine").option("compression", "zstd").parquet(folder)
+    kept = spark.read.schema("record_num bigint, long_name string, short_code string, nominal_speed_rpm double, machine string").parquet(folder)
+    return kept.withColumnRenamed("machine", "machine_id")
+
+
+@query(f"""WITH w AS (SELECT *, row_number() OVER (PARTITION BY origin, normalized_tag, observed_at, modality ORDER BY coalesce(record_kind = 'primary', false) DESC,
+coalesce(inspection_date, '') DESC, document_id DESC NULLS LAST, observation_id DESC NULLS LAST) AS r FROM observations_consolidated),
+c AS (SELECT document_id, observation_id, origin, normalized_tag, modality, observed_at, lead(observed_at) OVER (PARTITION BY origin, normalized_tag, modality ORDER BY observed_at) AS until FROM w WHERE r = 1)
+SELECT 'observations' AS tbl, origin, count(*) AS n, count(DISTINCT document_id) AS documents, 0::BIGINT AS open FROM observations_consolidated GROUP BY ALL
+UNION ALL SELECT 'consolidated', origin, count(*), count(DISTINCT document_id), count(*) FILTER (until IS NULL) FROM c GROUP BY ALL""")
+def materialised_tables(spark, d):
+    """The observations and their consolidated view written as tables with the contract's columns, and counted as read back."""
+    folder = shared_folder(spark, "truth")
+    whole = _observations(spark, d)
+    for name, df, schema in (("observations", whole, ground_truth.OBSERVATIONS), ("consolidated", ground_truth.consolidated(whole.drop("valid_to")), ground_truth.CONSOLIDATED)):
+        ground_truth.conforming(df, schema).write.option("compression", "zstd").parquet(f"{folder}/{name}")
+    read = lambda name, open_: spark.read.parquet(f"{folder}/{name}").groupBy("origin").agg(F.count("*").alias("n"), F.count_distinct("document_id").alias("documents"), open_.alias("open")).withColumn("tbl", F.lit(name))
+    both = read("observations", F.sum(F.lit(0)).cast("long")).unionByName(read("consolidated", F.count_if(F.col("valid_to").isNull())))
+    return both.select("tbl", "origin", "n", "documents", "open")
+
+
+@query("""WITH t AS (SELECT normalized_tag, regexp_extract(trim(external_name), '\\b([A-Za-z]{2,4}[-./][A-Za-z0-9][A-Za-z0-9/.\\- ]*)$', 1) AS t FROM crosswalk) SELECT normalized_tag, nullif(trim(t), '') AS plant_tag FROM t""")
+def machine_tags(spark, d):
+    return table(spark, d, "crosswalk").select("normalized_tag", ground_truth.machine_tag(F.col("external_name")).alias("plant_tag"))
+
+
+@query("""SELECT point_record_num, substr(sha1(point_record_num || ':' || record_num || ':fft'), 1, 16) AS sample_id, n_lines::BIGINT AS n FROM spectra""")
+def sample_index(spark, d):
+    s = table(spark, d, "spectra")
+    return s.select("point_record_num", documents.sample_id(F.col("point_record_num"), F.col("record_num"), F.lit("fft")).alias("sample_id"), F.col("n_lines").cast("long").alias("n"))
+
+
+@query("""WITH n AS (SELECT point_record_num, count(*) AS n FROM trend_readings GROUP BY 1), s AS (SELECT point_record_num, count(*) AS n FROM spectra GROUP BY 1),
+m AS (SELECT p.normalized_tag, count(*) AS points, sum(coalesce(s.n, 0)) AS fft, sum(coalesce(n.n, 0)) AS trend FROM points p LEFT JOIN n ON n.point_record_num = p.record_num LEFT JOIN s ON s.point_record_num = p.record_num GROUP BY 1)
+SELECT count(DISTINCT area_name) AS areas, count(*) AS machines, count(*) FILTER (fft + trend > 0) AS machines_with_data, sum(points)::BIGINT AS points, sum(fft)::BIGINT AS fft, 0::BIGINT AS waveform, sum(trend)::BIGINT AS trend
+FROM m LEFT JOIN crosswalk USING (normalized_tag)""")
+def database_totals(spark, d):
+    count = lambda name, out: table(spark, d, name).groupBy(F.col("point_record_num").alias("record_num")).agg(F.count("*").alias(out))
+    p = table(spark, d, "points").select("record_num", "normalized_tag").join(count("spectra", "fft"), "record_num", "left").join(count("trend_readings", "trend"), "record_num", "left").fillna(0, ["fft", "trend"])
+    m = p.groupBy("normalized_tag").agg(F.count("*").alias("n_points"), F.sum("fft").alias("fft"), F.sum("trend").alias("trend"))
+    named = m.join(table(spark, d, "crosswalk").select("normalized_tag", "area_name"), "normalized_tag", "left").withColumn("waveform", F.lit(0).cast("long"))
+    return documents.database_totals(named.withColumnRenamed("normalized_tag", "machine_id"))
+
+
+@query("""WITH f AS (SELECT c.normalized_tag, c.area_name FROM crosswalk c WHERE NOT EXISTS (SELECT 1 FROM crosswalk d WHERE d.normalized_tag = c.normalized_tag AND d.dataset_machine_id IS NOT NULL)),
+u AS (SELECT DISTINCT area_name FROM observations_consolidated WHERE dataset_machine_id IS NULL AND area_name IS NOT NULL)
+SELECT u.area_name, count(f.normalized_tag) AS free FROM u LEFT JOIN f ON replace(regexp_replace(strip_accents(upper(f.area_name)), '[^A-Z0-9]', '', 'g'), 'DE', '') = replace(regexp_replace(strip_accents(upper(u.area_name)), '[^A-Z0-9]', '', 'g'), 'DE', '') GROUP BY 1""")
+def same_area_candidates(spark, d):
+    free = table(spark, d, "crosswalk").groupBy("normalized_tag", "area_name").agg(F.max("dataset_machine_id").alias("id")).where("id is null")
+    keyed = free.select(crosswalk.area_key(F.col("area_name")).alias("k"), "normalized_tag")
+    u = _observations(spark, d).where("dataset_machine_id is null and area_name is not null").select("area_name").distinct()
+    return u.withColumn("k", crosswalk.area_key(F.col("area_name"))).join(keyed, "k", "left").groupBy("area_name").agg(F.count("normalized_tag").alias("free"))
+
+
+@query()
+def rule_traces(spark, d):
+    """Which rules match each clause of the distinct diagnoses, vetoed ones too."""
+    texts = _observations(spark, d).select("diagnosis_text").distinct()
+    return findings.Rules().trace(texts, ["diagnosis_text"], "diagnosis_text").groupBy("rule", "vetoed").agg(F.count("*").alias("n"))
