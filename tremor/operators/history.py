@@ -5,8 +5,8 @@ and date are first reduced to the one that holds; every attribute then has its
 own log of changes with its own intervals; the logs are combined by splitting at
 the union of their boundary dates, and equal neighbours are coalesced.
 
-Scale: the reduction to one row per (series, date) is a hash aggregate with
-map-side combine, so a series that holds a third of all rows arrives at the
+Scale: the reduction to one row per (series, date) is an aggregate with map-side
+combine (sorted, as its states hold text), so a series that holds a third of all rows arrives at the
 windows with at most one row per calendar date. The windows over a series are
 therefore bounded by the number of dates, however many rows state them.
 """
