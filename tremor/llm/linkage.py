@@ -401,7 +401,7 @@ def machine_keys(machines: DataFrame) -> DataFrame:
     """(key, normalized_tag, plain, df, of_plain, of_all): a machine's blocking keys with their rarity and what it could share at all."""
     of = F.array_union(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
     keys = _keys(F.col("site"), of, F.col("k_part"), _ratings("k_rpm", "k_power", True))
-    k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode(keys).alias("k")).select("normalized_tag", "k.*").distinct()
+    k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode_outer(keys).alias("k")).select("normalized_tag", "k.*").where("key is not null").distinct()
     rare = k.withColumn("df", F.count("*").over(Window.partitionBy("key")))
     whole = rare.groupBy("normalized_tag").agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("of_plain"), F.sum(1 / F.col("df")).alias("of_all"))
     return rare.join(whole, "normalized_tag")
@@ -414,7 +414,7 @@ def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, mach
     """
     said = F.array_union(F.transform("m_free", lambda x: x["w"]), F.col("m_typed"))
     m_keys = _keys(F.col("site"), said, F.col("m_part"), _ratings("m_rpm", "m_power", False))
-    placed = mentions.join(sites, ["source_ref", "mention"]).select("source_ref", "mention", F.explode(m_keys).alias("k")).select("source_ref", "mention", "k.key").distinct()
+    placed = mentions.join(sites, ["source_ref", "mention"]).select("source_ref", "mention", F.explode_outer(m_keys).alias("k")).select("source_ref", "mention", "k.key").where("key is not null").distinct()
     edges = (
         placed.join(keys, "key")
         .groupBy("source_ref", "mention", "normalized_tag")
@@ -427,8 +427,10 @@ def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, mach
         F.col("weight") >= F.least(F.col("_mean"), 0.5 * F.col("_top"))
     ).select("source_ref", "mention", "normalized_tag", "weight")
     features = ["source_ref", "mention", "m_free", "m_typed", "m_main", "m_part", "m_letter", "m_rpm", "m_power"]
-    full = kept.join(mentions.select(*features), ["source_ref", "mention"]).join(machines.drop("area_name"), "normalized_tag")
-    return full.select("source_ref", "mention", "normalized_tag", own_score().alias("own"), "weight").where(F.col("own") >= MIN_SCORE)
+    full = kept.join(mentions.select(*features), ["source_ref", "mention"]).join(machines.drop("area_name", "dataset_machine_id"), "normalized_tag")
+    # the score is made once: a filter on a column would be moved below and score anew
+    good = F.filter(F.array(own_score()), lambda x: x >= MIN_SCORE)
+    return full.select("source_ref", "mention", "normalized_tag", "weight", F.explode_outer(good).alias("own")).where("own is not null")
 
 
 def learned_words(edges: DataFrame, mentions: DataFrame, machines: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
@@ -522,7 +524,7 @@ def machine_keys(machines: DataFrame) -> DataFrame:
     """(key, normalized_tag, plain, df, of_plain, of_all): a machine's blocking keys with their rarity and what it could share at all."""
     of = F.array_union(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
     keys = _keys(F.col("site"), of, F.col("k_part"), _ratings("k_rpm", "k_power", True))
-    k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode(keys).alias("k")).select("normalized_tag", "k.*").distinct()
+    k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode_outer(keys).alias("k")).select("normalized_tag", "k.*").where("key is not null").distinct()
     rare = k.withColumn("df", F.count("*").over(Window.partitionBy("key")))
     whole = rare.groupBy("normalized_tag").agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("of_plain"), F.sum(1 / F.col("df")).alias("of_all"))
     return rare.join(whole, "normalized_tag")
@@ -535,7 +537,7 @@ def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, mach
     """
     said = F.array_union(F.transform("m_free", lambda x: x["w"]), F.col("m_typed"))
     m_keys = _keys(F.col("site"), said, F.col("m_part"), _ratings("m_rpm", "m_power", False))
-    placed = mentions.join(sites, ["source_ref", "mention"]).select("source_ref", "mention", F.explode(m_keys).alias("k")).select("source_ref", "mention", "k.key").distinct()
+    placed = mentions.join(sites, ["source_ref", "mention"]).select("source_ref", "mention", F.explode_outer(m_keys).alias("k")).select("source_ref", "mention", "k.key").where("key is not null").distinct()
     edges = (
         placed.join(keys, "key")
         .groupBy("source_ref", "mention", "normalized_tag")
@@ -548,8 +550,10 @@ def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, mach
         F.col("weight") >= F.least(F.col("_mean"), 0.5 * F.col("_top"))
     ).select("source_ref", "mention", "normalized_tag", "weight")
     features = ["source_ref", "mention", "m_free", "m_typed", "m_main", "m_part", "m_letter", "m_rpm", "m_power"]
-    full = kept.join(mentions.select(*features), ["source_ref", "mention"]).join(machines.drop("area_name"), "normalized_tag")
-    return full.select("source_ref", "mention", "normalized_tag", own_score().alias("own"), "weight").where(F.col("own") >= MIN_SCORE)
+    full = kept.join(mentions.select(*features), ["source_ref", "mention"]).join(machines.drop("area_name", "dataset_machine_id"), "normalized_tag")
+    # the score is made once: a filter on a column would be moved below and score anew
+    good = F.filter(F.array(own_score()), lambda x: x >= MIN_SCORE)
+    return full.select("source_ref", "mention", "normalized_tag", "weight", F.explode_outer(good).alias("own")).where("own is not null")
 
 
 def learned_words(edges: DataFrame, mentions: DataFrame, machines: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
@@ -601,7 +605,7 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
         F.xxhash64(F.coalesce(F.col("source_page"), F.lit(-1)), F.coalesce(row, F.lit(-1.0)), F.coalesce(F.col("external_name"), F.lit("")),
                    area, F.coalesce(F.col("rpm1"), F.lit(-1.0)), F.coalesce(F.col("power_kw"), F.lit(-1.0))).alias("mention"),
     ).where(F.col("name").rlike(r"\S"))
-    listed = _listed(crosswalk)
+    listed = checkpoint(_listed(crosswalk))
     lexicon = read_lexicon(listed)
     second: dict[str, set[str]] = {}
     for ws in lexicon.types.values():
@@ -615,7 +619,7 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
         listed.withColumn("f", f)
         .join(kinds, "prefix", "left")
         .select(
-            "normalized_tag", "area_name", "k_letter", "k_rpm", "k_power", F.coalesce("k_type", none).alias("k_type"), F.coalesce("k_others", none).alias("k_others"),
+            "normalized_tag", "dataset_machine_id", "area_name", "k_letter", "k_rpm", "k_power", F.coalesce("k_type", none).alias("k_type"), F.coalesce("k_others", none).alias("k_others"),
             F.col("f.free").alias("k_free"), F.array_union("f.typed", F.coalesce("k_type", none)).alias("k_typed"), F.col("f.part").alias("k_part"),
         )
     )
@@ -637,6 +641,6 @@ def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return (
         base.select("cell_id", "source_ref", "mention")
         .join(settled, ["source_ref", "mention"])
-        .join(listed.select("normalized_tag", "dataset_machine_id"), "normalized_tag")
+        .join(machines.select("normalized_tag", "dataset_machine_id"), "normalized_tag")
         .select("cell_id", "normalized_tag", "dataset_machine_id", F.round("confidence", 4).alias("confidence"))
     )
