@@ -94,3 +94,14 @@ def test_notes(db):
 def test_summaries(db):
     s = {(r["kind"]): r["n"] for r in db.summaries().collect()}
     assert s == {"fft": 2, "waveform": 1, "trend": 3}
+
+
+def test_decode_errors(spark, db, tmp_path):
+    assert db.decode_errors().count() == 0
+    path = tmp_path / "bad.rec"
+    database(path)
+    data = bytearray(path.read_bytes())
+    at = next(i for i in range(len(data) // 512) if data[i * 512 + 8 : i * 512 + 12] == b"pdcd")
+    data[at * 512 + 8 : at * 512 + 12] = b"xxxx"
+    path.write_bytes(data)
+    assert rows(Database(spark, str(path)).decode_errors()) == [("sample index", at, "pdcd", "xxxx")]

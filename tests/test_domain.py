@@ -150,6 +150,12 @@ def test_ordered(spark):
     assert rows(ordered.longest_per_key(df, ["k"], "v", [F.col("o")]).select("o")) == [(2,)]
 
 
+def test_shifted_dates_over_blocks(spark):
+    df = spark.createDataFrame([(1, 1, 10), (1, 2, None), (1, 5, 30), (1, 12, 40), (1, 31, 50), (None, 3, 7), (None, 14, 8)], "k long, o long, v long")
+    got = ordered.shifted_dates(df, ["k"], "o", "v", F.lit(-1).cast("long"), "d", F.floor(F.col("o") / 10))
+    assert rows(got.select("k", "o", "d")) == [(1, 1, -1), (1, 12, 30), (1, 2, 10), (1, 31, 40), (1, 5, -1), (None, 14, 7), (None, 3, -1)]
+
+
 def test_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(40, None), (50, 51), (51, 50), (60, 99)], "node long, nxt long")
     heads = spark.createDataFrame([(1,), (30,), (50,), (60,)], "head long")

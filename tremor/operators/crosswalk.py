@@ -88,7 +88,8 @@ def resolve(tags: DataFrame, ids: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n_candidates"), F.min("machine_id").alias("machine_id"))
     )
     unique = F.col("n_candidates") == 1
-    mine = Window.partitionBy("machine_id")
+    # a tag without a single machine stands for itself: no window holds all of them
+    mine = Window.partitionBy(F.coalesce("machine_id", F.concat(F.lit("\u0000"), "tag")))
     settled = (
         sel.withColumn("machine_id", F.when(unique, F.col("machine_id")))
         .withColumn("_top", F.min("_s").over(mine))

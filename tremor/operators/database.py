@@ -349,6 +349,33 @@ class Database:
         parts = [self._chain(first, tag, fields)[1].withColumn("chain", F.lit(tag)) for first, tag, fields in (("fft_first", "vdps", L.SPECTRUM), ("wave_first", "vdfw", L.WAVE), ("trend_first", "vddt", L.TREND))]
         return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(lists)
 
+    def decode_errors(self) -> DataFrame:
+        """(family, record_num, expected, found): pointers to records of another tag, or, with a null, beyond the file.
+
+        One error per family and record, whoever points there; what can be decoded
+        comes out all the same.
+        """
+        points, links = self.points(), self.links()
+        pointers = {
+            ("machine", "gdcm"): self.machines().select(F.col("machine_at").alias("record_num")),
+            ("point list", "gipm"): self.tagged("gdcm", L.MACHINE).select(F.col("points_at").alias("record_num")),
+            ("point", "vdpm"): self.tagged("gipm", L.POINT_LIST).select(F.explode("points").alias("record_num")),
+            ("sample index", "pdcd"): points.select(F.col("index_at").alias("record_num")),
+            ("status", "gdsc"): points.select(F.col("status_at").alias("record_num")),
+            ("note", "gdnl"): self.tagged("gdsc", L.STATUS).select(F.col("note_at").alias("record_num")),
+            ("spectrum", "vdps"): links.select(F.col("fft_first").alias("record_num")),
+            ("waveform", "vdfw"): links.select(F.col("wave_first").alias("record_num")),
+            ("trend", "vddt"): links.select(F.col("trend_first").alias("record_num")),
+            ("spectrum data", "vcps"): self.tagged("vdps", L.SPECTRUM).select(F.col("data_at").alias("record_num")),
+            ("waveform data", "vcfw"): self.tagged("vdfw", L.WAVE).select(F.col("data_at").alias("record_num")),
+        }
+        rows = [df.where("record_num is not null").select(F.lit(family).alias("family"), "record_num", F.lit(tag).alias("expected")) for (family, tag), df in pointers.items()]
+        every = rows[0]
+        for r in rows[1:]:
+            every = every.unionByName(r)
+        found = every.distinct().join(self.records().select("record_num", F.col("tag").alias("found")), "record_num", "left")
+        return found.where(F.col("found").isNull() | (F.col("found") != F.col("expected"))).select("family", "record_num", "expected", "found")
+
 
 def display_unit(units: Column) -> Column:
     return F.when(units.isin(*L.VELOCITY_UNITS), "mm/s").otherwise(units)

@@ -46,6 +46,7 @@ def _shortest(x: pd.Series) -> pd.Series:
     return x.map(lambda v: repr(float(v)), na_action="ignore").astype(object)
 
 
+# Fixed value: the wording of the evidence, Punto NAME (CODE); banda BAND = VALUE UNIT; umbrales C ALERT / D DANGER UNIT (set "SET"); severidad N/100.
 def evidence_text() -> Column:
     """Where a stored alarm fired and against what limits."""
     unit = F.coalesce("note_unit", F.lit(""))

@@ -35,9 +35,24 @@ def carried_forward(df: DataFrame, keys: list[str], order: list[str], column: st
     return df.withColumn(out, F.last(column, ignorenulls=True).over(w))
 
 
-def shifted_dates(df: DataFrame, keys: list[str], order: str, next_at: str, first_at: Column, out: str) -> DataFrame:
-    """A slot that stores its successor's date has its own in the slot before it."""
-    return df.withColumn(out, F.coalesce(F.lag(next_at).over(Window.partitionBy(*keys).orderBy(order)), first_at))
+def shifted_dates(df: DataFrame, keys: list[str], order: str, next_at: str, first_at: Column, out: str, block: Column) -> DataFrame:
+    """A slot that stores its successor's date has its own in the slot before it.
+
+    ``block`` never falls in ``order`` (a day, say): rows are ordered within a key's
+    block only, and a block's first row looks at the last row of the block before, of
+    which there is one per block; so a key with many rows is no window of its own.
+    """
+    placed = df.withColumn("_block", block)
+    within = Window.partitionBy(*keys, "_block").orderBy(order)
+    ends = placed.groupBy(*keys, "_block").agg(F.max_by(next_at, order).alias("_end"))
+    before = ends.withColumn("_before", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_block"))).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_block").alias("_b"), "_before")
+    same = F.col("_block").eqNullSafe(F.col("_b"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    # of rows that have one before them in the block, its value counts, also if it is null
+    own = F.when(F.row_number().over(within) > 1, F.lag(next_at).over(within)).otherwise(F.col("_before"))
+    joined = placed.join(before, same, "left").withColumn(out, F.coalesce(own, first_at))
+    return joined.drop("_block", "_b", "_before", *[f"_{k}" for k in keys])
 
 
 def take_while(df: DataFrame, keys: list[str], order: list[str], valid: Column) -> DataFrame:

@@ -151,7 +151,7 @@ SELECT reading_id, point_record_num, epoch_us(coalesce(prev, TIMESTAMPTZ '2000-0
 def trend_off_by_one(spark, d):
     t = table(spark, d, "trend_readings").where("timestamp_utc is not null").select("reading_id", "point_record_num", F.unix_micros("timestamp_utc").alias("us"), F.col("overall_raw").cast("double").alias("v"))
     t = t.withColumn("slot", F.struct("us", "reading_id"))
-    dated = ordered.shifted_dates(t, ["point_record_num"], "slot", "us", F.lit(946684800000000), "dated_us")
+    dated = ordered.shifted_dates(t, ["point_record_num"], "slot", "us", F.lit(946684800000000), "dated_us", F.floor(F.col("us") / 86_400_000_000))
     kept = ordered.take_while(dated, ["point_record_num"], ["us", "reading_id"], (F.col("v") > 0) & (F.col("v") <= 200) & ~F.isnan("v"))
     return kept.select("reading_id", "point_record_num", "dated_us")
 
