@@ -59,20 +59,14 @@ def tree(db: Database, a: argparse.Namespace) -> DataFrame:
     return out
 
 
-def _per_machine(db: Database) -> DataFrame:
-    counts = db.summaries().groupBy("machine_id").pivot("kind", ["fft", "waveform", "trend"]).agg(F.sum("n"))
-    sizes = db.points().groupBy("machine_id").agg(F.count("*").alias("n_points"))
-    return db.machines().join(sizes, "machine_id", "left").join(counts, "machine_id", "left").fillna(0, ["n_points", "fft", "waveform", "trend"])
-
-
 def summary(db: Database, a: argparse.Namespace) -> DataFrame:
     """Totals of the database; areas without machines don't count."""
-    return documents.database_totals(_filtered(_per_machine(db), a.area, a.equipment))
+    return inventory.database_totals(_filtered(db.per_machine(), a.area, a.equipment)) if a.area or a.equipment else db.totals()
 
 
 def stats(db: Database, a: argparse.Namespace) -> DataFrame:
     """Captures per machine by kind, machines without any included, largest first."""
-    m = _filtered(_per_machine(db), a.area, a.equipment)
+    m = _filtered(db.per_machine(), a.area, a.equipment)
     total = m.select("area_name", "machine_id", "n_points", "fft", "waveform", "trend", (F.col("fft") + F.col("waveform") + F.col("trend")).alias("total"))
     return inventory.top_n(total, a.sort, ["area_name", "machine_id"], a.limit)
 

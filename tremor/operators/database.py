@@ -342,6 +342,16 @@ class Database:
         rows = [df.select("machine_id", "point_id", F.lit(kind).alias("kind"), F.timestamp_seconds(at).alias("at")) for kind, df, at in kinds]
         return inventory.type_summary(rows[0].unionByName(rows[1]).unionByName(rows[2]), ["machine_id", "point_id", "kind"], "at")
 
+    def per_machine(self) -> DataFrame:
+        """Machines with their points and captures by kind, machines without any included."""
+        counts = self.summaries().groupBy("machine_id").pivot("kind", ["fft", "waveform", "trend"]).agg(F.sum("n"))
+        sizes = self.points().groupBy("machine_id").agg(F.count("*").alias("n_points"))
+        return self.machines().join(sizes, "machine_id", "left").join(counts, "machine_id", "left").fillna(0, ["n_points", "fft", "waveform", "trend"])
+
+    def totals(self) -> DataFrame:
+        """One row of totals of the whole database, made once."""
+        return self._once("totals", lambda: inventory.database_totals(self.per_machine()))
+
     def faults(self) -> DataFrame:
         """Heads of broken chains by kind, those of machine lists among them."""
         self.machines()

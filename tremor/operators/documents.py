@@ -127,15 +127,6 @@ def sample_id(point: Column, record: Column, kind: Column, place: Column | None
     return F.substring(F.sha1(F.concat_ws(":", *parts)), 1, 16)
 
 
-def database_totals(machines: DataFrame) -> DataFrame:
-    """One row of totals from (area_name, machine_id, n_points, fft, waveform, trend) per machine; areas without machines don't count."""
-    total = F.col("fft") + F.col("waveform") + F.col("trend")
-    return machines.agg(
-        F.count_distinct("area_name").alias("areas"), F.count("*").alias("machines"), F.count_if(total > 0).alias("machines_with_data"), F.coalesce(F.sum("n_points"), F.lit(0)).alias("points"),
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("fft", "waveform", "trend")],
-    )
-
-
 def export_summary(written: DataFrame) -> DataFrame:
     """One row from (machine_id, table, rows, error): machines, those with rows and those that failed, rows of each table."""
     per = written.groupBy("machine_id").agg(F.sum("rows").alias("rows"), F.max(F.col("error").isNotNull()).alias("failed"), *[F.sum(F.when(F.col("table") == t, F.col("rows"))).alias(t) for t in ("spectra", "waves", "trends")])

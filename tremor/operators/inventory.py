@@ -43,3 +43,20 @@ def conflicts(df: DataFrame, keys: list[str], signature: list[str]) -> DataFrame
     each = [F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))).alias(f"_{c}") for c in signature]
     differing = F.array_compact(F.array(*[F.when(F.col(f"_{c}") > 1, F.lit(c)) for c in signature]))
     return df.groupBy(*keys).agg(*each).select(*keys, differing.alias("fields")).where(F.size("fields") > 0)
+
+
+def database_totals(machines: DataFrame) -> DataFrame:
+    """One row of totals from (area_name, machine_id, n_points, fft, waveform, trend) per machine; areas without machines don't count."""
+    total = F.col("fft") + F.col("waveform") + F.col("trend")
+    return machines.agg(
+        F.count_distinct("area_name").alias("areas"), F.count("*").alias("machines"), F.count_if(total > 0).alias("machines_with_data"), F.coalesce(F.sum("n_points"), F.lit(0)).alias("points"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("fft", "waveform", "trend")],
+    )
+
+
+def metadata_summary(points: DataFrame, name: str, bearings: str, speed: str) -> DataFrame:
+    """One row: points, different names, points with a name, with bearings and with a nominal speed."""
+    said = F.size(F.filter(bearings, lambda b: b.isNotNull() & (F.trim(b) != ""))) > 0
+    return points.agg(
+        F.count("*").alias("points"), F.count_distinct(name).alias("names"), F.count_if(F.trim(name) != "").alias("with_name"), F.count_if(said).alias("with_bearings"), F.count_if(F.col(speed) > 0).alias("with_speed")
+    )

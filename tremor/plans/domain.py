@@ -524,7 +524,7 @@ def database_totals(spark, d):
     p = table(spark, d, "points").select("record_num", "normalized_tag").join(count("spectra", "fft"), "record_num", "left").join(count("trend_readings", "trend"), "record_num", "left").fillna(0, ["fft", "trend"])
     m = p.groupBy("normalized_tag").agg(F.count("*").alias("n_points"), F.sum("fft").alias("fft"), F.sum("trend").alias("trend"))
     named = m.join(table(spark, d, "crosswalk").select("normalized_tag", "area_name"), "normalized_tag", "left").withColumn("waveform", F.lit(0).cast("long"))
-    return documents.database_totals(named.withColumnRenamed("normalized_tag", "machine_id"))
+    return inventory.database_totals(named.withColumnRenamed("normalized_tag", "machine_id"))
 
 
 @query("""WITH f AS (SELECT c.normalized_tag, c.area_name FROM crosswalk c WHERE NOT EXISTS (SELECT 1 FROM crosswalk d WHERE d.normalized_tag = c.normalized_tag AND d.dataset_machine_id IS NOT NULL)),
@@ -542,3 +542,16 @@ def rule_traces(spark, d):
     """Which rules match each clause of the distinct diagnoses, vetoed ones too."""
     texts = _observations(spark, d).select("diagnosis_text").distinct()
     return findings.Rules().trace(texts, ["diagnosis_text"], "diagnosis_text").groupBy("rule", "vetoed").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT count(*) AS points, count(DISTINCT long_name) AS names, count(*) FILTER (trim(long_name) <> '') AS with_name,
+count(*) FILTER (len(list_filter(bearing_designations, lambda b: b IS NOT NULL AND trim(b) <> '')) > 0) AS with_bearings, count(*) FILTER (nominal_speed_rpm > 0) AS with_speed FROM points""")
+def point_metadata(spark, d):
+    return inventory.metadata_summary(table(spark, d, "points"), "long_name", "bearing_designations", "nominal_speed_rpm")
+
+
+@query(f"""SELECT 'observations' AS tbl, document_id, count(*) AS n FROM observations_consolidated GROUP BY ALL
+UNION ALL SELECT 'consolidated', document_id, count(*) FROM ({_WINNERS}) GROUP BY ALL""")
+def document_counts(spark, d):
+    tables = {"observations": _observations(spark, d), "consolidated": _winners(spark, d)}
+    return ground_truth.row_counts(tables).select(F.col("table").alias("tbl"), "document_id", F.col("rows").alias("n"))

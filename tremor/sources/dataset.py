@@ -47,30 +47,80 @@ def required(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df
 
 
+class _MachineFile:
+    """One machine's file while its rows stream by: written beside its place, put there when whole."""
+
+    def __init__(self, out: str, machine: str, table: str, schema: pa.Schema) -> None:
+        self.machine, self.schema, self.rows = machine, schema, 0
+        self.error: str | None = None
+        self.target = Path(out) / f"machine={machine}" / f"{table}.parquet"
+        self.part = self.target.with_suffix(f".{os.getpid()}.part")
+        self.writer: pq.ParquetWriter | None = None
+        self._try(self._open)
+
+    def _try(self, step, *args) -> None:
+        if self.error is None:
+            try:
+                step(*args)
+            except Exception as e:  # told per machine, the rest goes on
+                self.error = f"{type(e).__name__}: {e}"
+
+    def _open(self) -> None:
+        self.target.parent.mkdir(parents=True, exist_ok=True)
+        self.writer = pq.ParquetWriter(self.part, self.schema, compression="zstd")
+
+    def _put(self, rows: pa.Table) -> None:
+        self.writer.write_table(rows.cast(self.schema))
+        self.rows += rows.num_rows
+
+    def add(self, rows: pa.Table) -> None:
+        self._try(self._put, rows)
+
+    def close(self) -> tuple[str, int, str | None]:
+        if self.writer is not None:
+            self._try(self.writer.close)
+        self._try(os.replace, self.part, self.target)  # a task that runs twice leaves one whole file
+        return self.machine, self.rows if self.error is None else 0, self.error
+
+
 def write_machines(df: DataFrame, machines: DataFrame, out: str, table: str, order: list[str]) -> DataFrame:
     """One file per machine, also for machines without rows; returns machine_id, rows and error of each.
 
-    A machine is one task's unit and holds its rows in memory, as a file of one
-    machine must; failures are reported per machine and don't stop the rest.
+    ``out`` is a folder that all executors share. Rows come sorted by machine and
+    order and are written as they come, so no task holds a machine; failures are
+    reported per machine and don't stop the rest.
     """
     columns = [f for f in df.schema.fields if f.name != "machine_id"]
     schema = to_arrow_schema(type(df.schema)(columns))
     all_ = machines.select("machine_id").distinct().join(df.withColumn("_row", F.lit(True)), "machine_id", "left")
-
-    def write(rows: pd.DataFrame) -> pd.DataFrame:
-        machine = rows["machine_id"].iloc[0]
-        try:
-            own = rows[rows["_row"].notna()].sort_values(order, kind="stable") if order else rows[rows["_row"].notna()]
-            target = Path(out) / f"machine={machine}" / f"{table}.parquet"
-            target.parent.mkdir(parents=True, exist_ok=True)
-            part = target.with_suffix(f".{os.getpid()}.part")
-            pq.write_table(pa.Table.from_pandas(own[schema.names], schema=schema, preserve_index=False), part, compression="zstd")
-            os.replace(part, target)  # a task that runs twice leaves one whole file
-            return pd.DataFrame({"machine_id": [machine], "rows": [len(own)], "error": [None]})
-        except Exception as e:
-            return pd.DataFrame({"machine_id": [machine], "rows": [0], "error": [f"{type(e).__name__}: {e}"]})
-
-    return all_.groupBy("machine_id").applyInPandas(write, "machine_id string, rows long, error string")
+    kind = pa.schema([("machine_id", pa.string()), ("rows", pa.int64()), ("error", pa.string())])
+
+    def done(files: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(kind.names, f, strict=True)) for f in files], schema=kind)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current: _MachineFile | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            names = rows["machine_id"].to_pylist()
+            starts = [0, *[i for i in range(1, len(names)) if names[i] != names[i - 1]], len(names)]
+            finished = []
+            for a, b in zip(starts, starts[1:], strict=False):
+                if current is None or current.machine != names[a]:
+                    if current is not None:
+                        finished.append(current.close())
+                    current = _MachineFile(out, names[a], table, schema)
+                part = rows.slice(a, b - a)
+                current.add(part.filter(part["_row"].is_valid()).select(schema.names))
+            if finished:
+                yield done(finished)
+        if current is not None:
+            yield done([current.close()])
+
+    placed = all_.repartition("machine_id").sortWithinPartitions("machine_id", *order)
+    return placed.mapInArrow(write, "machine_id string, rows long, error string")
 
 
 def write_texts(df: DataFrame, out: str, name: str | None) -> DataFrame:
