@@ -365,7 +365,10 @@ def status_from_texts(spark, d):
 
 @query()
 def text_census(spark, d):
-    return findings.census(_observations(spark, d), ["document_id", "observation_id"], ["diagnosis_text", "analysis_text", "recommendation_text"])
+    """Evidence in the texts of reports and of alarm notes."""
+    reports = findings.census(_observations(spark, d), ["document_id", "observation_id"], ["diagnosis_text", "analysis_text", "recommendation_text"])
+    notes = table(spark, d, "alarm_notes").select(F.lit("notes").alias("document_id"), F.col("note_id").cast("string").alias("observation_id"), "note_text")
+    return reports.unionByName(findings.census(notes, ["document_id", "observation_id"], ["note_text"]))
 
 
 @query()
@@ -424,12 +427,14 @@ def set_algebra(spark, d):
     return part(a.intersect(b), "both").unionByName(part(a.subtract(b), "list_only")).unionByName(part(b.subtract(a), "reports_only"))
 
 
-@query("""SELECT normalized_tag, lower(area_name) IN ('bochavero secado', 'plarubisi calderas') AS exact, contains(lower(area_name), 'refino') AS part FROM crosswalk
-WHERE lower(area_name) IN ('bochavero secado', 'plarubisi calderas') OR contains(lower(area_name), 'refino')""")
+# the filters: the first area's whole name, and the last word of the last area
+@query("""WITH f AS (SELECT min(lower(area_name)) AS whole, regexp_extract(max(lower(area_name)), '[^ ]+$') AS word FROM crosswalk)
+SELECT normalized_tag, lower(area_name) = whole AS exact, contains(lower(area_name), word) AS part FROM crosswalk, f WHERE lower(area_name) = whole OR contains(lower(area_name), word)""")
 def area_filters(spark, d):
-    low = F.lower("area_name")
-    exact, part = low.isin("bochavero secado", "plarubisi calderas"), F.contains(low, F.lit("refino"))
-    return table(spark, d, "crosswalk").where(exact | part).select("normalized_tag", exact.alias("exact"), part.alias("part"))
+    c = table(spark, d, "crosswalk").select("normalized_tag", F.lower("area_name").alias("low"))
+    wanted = c.agg(F.min("low").alias("whole"), F.regexp_extract(F.max("low"), "[^ ]+$", 0).alias("word"))
+    exact, part = F.col("low") == F.col("whole"), F.contains("low", F.col("word"))
+    return c.crossJoin(F.broadcast(wanted)).where(exact | part).select("normalized_tag", exact.alias("exact"), part.alias("part"))  # one row
 
 
 @query("""WITH a AS (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS o FROM nation), b AS (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) - 1 AS o FROM region)
