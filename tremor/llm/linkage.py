@@ -403,8 +403,8 @@ def machine_keys(machines: DataFrame) -> DataFrame:
     keys = _keys(F.col("site"), of, F.col("k_part"), _ratings("k_rpm", "k_power", True))
     k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode_outer(keys).alias("k")).select("normalized_tag", "k.*").where("key is not null").distinct()
     rare = k.withColumn("df", F.count("*").over(Window.partitionBy("key")))
-    whole = rare.groupBy("normalized_tag").agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("of_plain"), F.sum(1 / F.col("df")).alias("of_all"))
-    return rare.join(whole, "normalized_tag")
+    mine = Window.partitionBy("normalized_tag")
+    return rare.withColumn("of_plain", F.sum(F.when(F.col("plain"), 1 / F.col("df"))).over(mine)).withColumn("of_all", F.sum(1 / F.col("df")).over(mine))
 
 
 def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, machines: DataFrame) -> DataFrame:
@@ -452,9 +452,11 @@ def learned_words(edges: DataFrame, mentions: DataFrame, machines: DataFrame) ->
     unsaid = lambda words: F.filter(words, lambda w: w.isNotNull() & ~F.array_contains("exact", w))
     told = lambda area, tokens, words: F.transform(tokens, lambda t: F.struct(F.lit(area).alias("area"), t.alias("token"), unsaid(words).alias("words")))
     each = met.select("normalized_tag", F.inline(F.concat(told(False, "foreign", "names"), told(True, "elsewhere", "parts"))))
-    said = each.groupBy("area", "token").agg(F.count("*").alias("all"))
-    pairs = each.select("normalized_tag", "area", "token", F.explode("words").alias("word")).groupBy("area", "token", "word").agg(F.count("*").alias("n"), F.countDistinct("normalized_tag").alias("machines"))
-    good = pairs.join(said, ["area", "token"]).where((F.col("machines") >= TAUGHT) & (F.col("n") >= AGREED * F.col("all")))
+    # a null word stands for the mention itself, so that each token's mentions are counted with its words
+    words = F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("words"))).alias("word")
+    pairs = each.select("normalized_tag", "area", "token", words).groupBy("area", "token", "word").agg(F.count("*").alias("n"), F.countDistinct("normalized_tag").alias("machines"))
+    all_ = F.max(F.when(F.col("word").isNull(), F.col("n"))).over(Window.partitionBy("area", "token"))
+    good = pairs.withColumn("all", all_).where(F.col("word").isNotNull() & (F.col("machines") >= TAUGHT) & (F.col("n") >= AGREED * F.col("all")))
     # of words that always come together the one that looks like the token
     begins, same_letter = (x.cast("int") for x in (F.startswith("word", F.col("token")), F.substring("word", 1, 1) == F.substring("token", 1, 1)))
     best = F.max_by("word", F.struct(begins.alias("a"), "n", "machines", same_letter.alias("b"), "word")).alias("word")
@@ -526,8 +528,8 @@ def machine_keys(machines: DataFrame) -> DataFrame:
     keys = _keys(F.col("site"), of, F.col("k_part"), _ratings("k_rpm", "k_power", True))
     k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode_outer(keys).alias("k")).select("normalized_tag", "k.*").where("key is not null").distinct()
     rare = k.withColumn("df", F.count("*").over(Window.partitionBy("key")))
-    whole = rare.groupBy("normalized_tag").agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("of_plain"), F.sum(1 / F.col("df")).alias("of_all"))
-    return rare.join(whole, "normalized_tag")
+    mine = Window.partitionBy("normalized_tag")
+    return rare.withColumn("of_plain", F.sum(F.when(F.col("plain"), 1 / F.col("df"))).over(mine)).withColumn("of_all", F.sum(1 / F.col("df")).over(mine))
 
 
 def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, machines: DataFrame) -> DataFrame:
