@@ -27,9 +27,10 @@ import re
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tremor.llm.mapping import one_slip, shortens
@@ -192,12 +193,20 @@ def _features(text: Column, area: Column, lexicon: Lexicon, learned: dict[str, s
 
 
 def _collect(df: DataFrame, what: str) -> list:
-    rows = df.limit(VOCABULARY_LIMIT + 1).collect()
+    """The rows of a small table, in one job; more than ``VOCABULARY_LIMIT`` are an error."""
+    rows = df.limit(VOCABULARY_LIMIT + 1).agg(F.collect_list(F.struct(*df.columns))).first()[0]
     if len(rows) > VOCABULARY_LIMIT:
         raise ValueError(f"more than {VOCABULARY_LIMIT} {what}")
     return rows
 
 
+def _counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, dict[str, int]]:
+    """A checkpoint of a table and how many of its rows fulfil each condition, told by the job that writes it."""
+    seen = Observation()
+    kept = checkpoint(df.observe(seen, *[F.count_if(c).alias(name) for name, c in conditions.items()]))
+    return kept, seen.get
+
+
 def _deletes(token: Column) -> Column:
     """The token and all forms of it with one letter less."""
     n = F.length(token)
@@ -299,8 +308,9 @@ def propagate(edges: DataFrame) -> DataFrame:
         ranked = claims.withColumn("_k", F.row_number().over(machine.orderBy(F.desc("_c"), "mention")))
         two = ranked.withColumn("_1", F.max(F.when(F.col("_k") == 1, F.col("_c"))).over(machine)).withColumn("_2", F.max(F.when(F.col("_k") == 2, F.col("_c"))).over(machine))
         rival = F.coalesce(F.when(F.col("_k") == 1, F.col("_2")).otherwise(F.col("_1")), F.lit(0.0))
-        now = checkpoint(two.select("source_ref", "mention", "normalized_tag", "own", "weight", F.col("score").alias("_was"), (F.col("own") - CLAIM * F.greatest(rival - F.col("_c"), F.lit(0.0))).alias("score")))
-        if now.where(F.abs(F.col("score") - F.col("_was")) > TOLERANCE).isEmpty():
+        new = two.select("source_ref", "mention", "normalized_tag", "own", "weight", F.col("score").alias("_was"), (F.col("own") - CLAIM * F.greatest(rival - F.col("_c"), F.lit(0.0))).alias("score"))
+        now, seen = _counted(new, moved=F.abs(F.col("score") - F.col("_was")) > TOLERANCE)
+        if not seen["moved"]:
             return now.drop("_was")
 
 
@@ -312,31 +322,26 @@ def _settle(edges: DataFrame) -> DataFrame:
     the rest. Rounds end when nothing is taken. Edges that tie to the end are not
     taken.
     """
-    left = checkpoint(edges)
-    taken = None
+    left, taken = edges, []
+    m, k = Window.partitionBy("source_ref", "mention"), Window.partitionBy("source_ref", "normalized_tag")
+    at_mention = m.orderBy(F.desc("score"), "normalized_tag")
+    at_machine = k.orderBy(F.desc_nulls_last("_clear"), "mention")
     while True:  # every round takes a mention at least
-        m, k = Window.partitionBy("source_ref", "mention"), Window.partitionBy("source_ref", "normalized_tag")
-        clear = (
-            left.withColumn("_mr", F.row_number().over(m.orderBy(F.desc("score"), "normalized_tag")))
-            .withColumn("_m2", F.lead("score").over(m.orderBy(F.desc("score"), "normalized_tag")))
-            .where((F.col("_mr") == 1) & (F.coalesce(F.col("score") - F.col("_m2"), F.lit(9.0)) >= MARGIN))
-            .withColumn("_kr", F.row_number().over(k.orderBy(F.desc("score"), "mention")))
-            .withColumn("_k2", F.lead("score").over(k.orderBy(F.desc("score"), "mention")))
-        )
+        ranked = left.withColumn("_mr", F.row_number().over(at_mention)).withColumn("_m2", F.lead("score").over(at_mention))
+        # the score of an edge that is clearly the best of its mention
+        clear = ranked.withColumn("_clear", F.when((F.col("_mr") == 1) & (F.coalesce(F.col("score") - F.col("_m2"), F.lit(9.0)) >= MARGIN), F.col("score")))
+        met = clear.withColumn("_kr", F.row_number().over(at_machine)).withColumn("_k2", F.lead("_clear").over(at_machine))
+        best = F.col("_clear").isNotNull() & (F.col("_kr") == 1) & (F.coalesce(F.col("_clear") - F.col("_k2"), F.lit(9.0)) >= 1e-6)
+        told = met.withColumn("best", best).withColumn("_gone", F.max("best").over(k)).withColumn("_done", F.max("best").over(m))
         lead = F.col("score") - F.greatest(F.coalesce("_m2", F.lit(-9.0)), F.lit(0.0))
-        best = clear.where(
-            (F.col("_kr") == 1) & (F.coalesce(F.col("score") - F.col("_k2"), F.lit(9.0)) >= 1e-6)
-        ).select("source_ref", "mention", "normalized_tag", "score", (1 / (1 + F.exp(-2 * lead))).alias("confidence"))
-        best = checkpoint(best)
-        if best.isEmpty():
-            break
-        taken = best if taken is None else taken.unionByName(best)
-        left = checkpoint(
-            left.join(best.select("source_ref", "mention"), ["source_ref", "mention"], "left_anti").join(
-                best.select("source_ref", "normalized_tag"), ["source_ref", "normalized_tag"], "left_anti"
-            )
-        )
-    return taken if taken is not None else best
+        state, seen = _counted(
+            told.where(F.col("best") | ~(F.col("_gone") | F.col("_done"))).select("source_ref", "mention", "normalized_tag", "score", "best", (1 / (1 + F.exp(-2 * lead))).alias("confidence")),
+            best=F.col("best"), left=~F.col("best"),
+        )
+        taken.append(state.where("best").drop("best"))
+        if not seen["best"] or not seen["left"]:
+            return reduce(DataFrame.unionByName, taken)
+        left = state.where("not best").drop("best", "confidence")
 
 
 def _listed(crosswalk: DataFrame) -> DataFrame:
@@ -464,131 +469,6 @@ def learned_words(edges: DataFrame, mentions: DataFrame, machines: DataFrame) ->
     return {r["token"]: r["word"] for r in rows if not r["area"]}, {r["token"]: r["word"] for r in rows if r["area"]}
 
 
-def _listed(crosswalk: DataFrame) -> DataFrame:
-    """The machine list with its names, sister letters and ratings; one row per tag."""
-    return crosswalk.where(F.col("normalized_tag").isNotNull()).select(
-        "normalized_tag", "dataset_machine_id", F.col("area_name"),
-        F.regexp_extract("normalized_tag", "^[A-Z]+", 0).alias("prefix"),
-        F.nullif(F.regexp_extract("normalized_tag", "[0-9]([A-Z])$", 1), F.lit("")).alias("k_letter"),
-        F.concat_ws(" ", F.regexp_replace(F.coalesce("external_name", F.lit("")), " [A-Fa-f]$", ""),
-                    F.regexp_replace(F.coalesce("dataset_machine_id", F.lit("")), "[A-Z]{2}_?[0-9]+.*?(_|$)([A-Z](_|$))?", " ")).alias("text"),
-        F.col("rpm1").cast("double").alias("k_rpm"), F.col("power_kw").cast("double").alias("k_power"),
-    ).dropDuplicates(["normalized_tag"])
-
-
-def read_lexicon(listed: DataFrame) -> Lexicon:
-    """The vocabulary of names, and the words that nearly all machines with a tag prefix share: their type."""
-    spoken = (
-        listed.select("normalized_tag", "prefix", F.posexplode(F.split(F.lower("text"), "[^a-z]+")).alias("at", "w"))
-        .where((F.length("w") > 2) & ~F.col("w").isin(*STOP))
-        .groupBy("normalized_tag", "prefix", "w").agg(F.min("at").alias("at"))
-    )
-    count = {r["w"]: r["n"] for r in _collect(spoken.groupBy("w").agg(F.count("*").alias("n")), "words in machine names")}
-    named = spoken.groupBy("prefix").agg(F.countDistinct("normalized_tag").alias("all"))
-    shared = spoken.groupBy("prefix", "w").agg(F.count("*").alias("n"), F.avg("at").alias("at")).join(named, "prefix").where(F.col("n") >= 0.8 * F.col("all"))
-    found: dict[str, list[tuple[float, str]]] = {}
-    spread: dict[str, set[str]] = {}
-    for r in _collect(shared.where("all > 1"), "words of tag prefixes"):
-        found.setdefault(r["prefix"], []).append((r["at"], r["w"]))
-        spread.setdefault(r["w"], set()).add(r["prefix"])
-    # within a type the noun first: the word of the most related types, of equals the one that stands first
-    types = {p: [w for _, w in sorted(ws, key=lambda x: (-len(spread[x[1]]), x))] for p, ws in found.items()}
-    tails = listed.select(F.element_at(F.split(F.lower("area_name"), "[^a-z]+"), -1).alias("w")).where(F.length("w") > 2)
-    return Lexicon(count, {r["w"]: r["n"] for r in _collect(tails.groupBy("w").agg(F.count("*").alias("n")), "parts of sites")}, types)
-
-
-def _keys(site: Column, words: Column, part: Column, ratings: list[Column]) -> Column:
-    """Blocking keys of a site: (key, plain) for each pair of different attributes; ``plain`` ones are of words only."""
-    s = F.array_sort(F.array_distinct(words))
-    key = lambda plain, *x: F.struct(F.xxhash64(site, *x).alias("key"), F.lit(plain).alias("plain"))
-    cross = lambda xs, ys: F.flatten(F.transform(xs, lambda a: F.transform(ys, lambda b: key(False, a, b))))
-    of_words = F.flatten(F.transform(s, lambda a: F.transform(F.filter(s, lambda b: b > a), lambda b: key(True, a, b))))
-    parts = F.filter(F.array(F.concat(F.lit("@"), part)), lambda x: x.isNotNull())
-    return F.concat(of_words, cross(s, parts), *[cross(F.concat(s, parts), r) for r in ratings], cross(*ratings))
-
-
-def _classes(mark: str, x: Column, per: int, both: bool) -> Column:
-    """The class of a rating on a logarithmic scale, for a machine also the nearer one beside it.
-
-    Ratings apart by half a class at most share one then.
-    """
-    at = F.log(x) * per
-    near = F.round(at) + F.when(at >= F.round(at), 1).otherwise(-1)
-    named = lambda c: F.concat(F.lit(mark), c.cast("int"))
-    return F.when(x > 0, F.array(named(F.round(at)), *([named(near)] if both else []))).otherwise(F.array().cast("array<string>"))
-
-
-def _ratings(rpm: str, power: str, both: bool) -> list[Column]:
-    return [_classes("#", F.col(rpm), 10, both), _classes("%", F.col(power), 4, both)]
-
-
-def machine_keys(machines: DataFrame) -> DataFrame:
-    """(key, normalized_tag, plain, df, of_plain, of_all): a machine's blocking keys with their rarity and what it could share at all."""
-    of = F.array_union(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
-    keys = _keys(F.col("site"), of, F.col("k_part"), _ratings("k_rpm", "k_power", True))
-    k = machines.withColumn("site", F.explode(_site_words(F.col("area_name")))).select("normalized_tag", F.explode_outer(keys).alias("k")).select("normalized_tag", "k.*").where("key is not null").distinct()
-    rare = k.withColumn("df", F.count("*").over(Window.partitionBy("key")))
-    mine = Window.partitionBy("normalized_tag")
-    return rare.withColumn("of_plain", F.sum(F.when(F.col("plain"), 1 / F.col("df"))).over(mine)).withColumn("of_all", F.sum(1 / F.col("df")).over(mine))
-
-
-def candidate_edges(mentions: DataFrame, sites: DataFrame, keys: DataFrame, machines: DataFrame) -> DataFrame:
-    """Edges (source_ref, mention, normalized_tag, own, weight) after meta-blocking, scored by their own attributes.
-
-    The weight is the rarity of what both ends share, of what the machine could share at all.
-    """
-    said = F.array_union(F.transform("m_free", lambda x: x["w"]), F.col("m_typed"))
-    m_keys = _keys(F.col("site"), said, F.col("m_part"), _ratings("m_rpm", "m_power", False))
-    placed = mentions.join(sites, ["source_ref", "mention"]).select("source_ref", "mention", F.explode_outer(m_keys).alias("k")).select("source_ref", "mention", "k.key").where("key is not null").distinct()
-    edges = (
-        placed.join(keys, "key")
-        .groupBy("source_ref", "mention", "normalized_tag")
-        .agg(F.sum(F.when(F.col("plain"), 1 / F.col("df"))).alias("_plain"), F.sum(1 / F.col("df")).alias("_all"), F.first("of_plain").alias("of_plain"), F.first("of_all").alias("of_all"))
-        # words of its name alone, where it has some
-        .withColumn("weight", F.when(F.col("of_plain").isNull(), F.col("_all") / F.col("of_all")).otherwise(F.coalesce("_plain", F.lit(0.0)) / F.col("of_plain")))
-    )
-    mine = Window.partitionBy("source_ref", "mention")
-    kept = edges.withColumn("_mean", F.avg("weight").over(mine)).withColumn("_top", F.max("weight").over(mine)).where(
-        F.col("weight") >= F.least(F.col("_mean"), 0.5 * F.col("_top"))
-    ).select("source_ref", "mention", "normalized_tag", "weight")
-    features = ["source_ref", "mention", "m_free", "m_typed", "m_main", "m_part", "m_letter", "m_rpm", "m_power"]
-    full = kept.join(mentions.select(*features), ["source_ref", "mention"]).join(machines.drop("area_name", "dataset_machine_id"), "normalized_tag")
-    # the score is made once: a filter on a column would be moved below and score anew
-    good = F.filter(F.array(own_score()), lambda x: x >= MIN_SCORE)
-    return full.select("source_ref", "mention", "normalized_tag", "weight", F.explode_outer(good).alias("own")).where("own is not null")
-
-
-def learned_words(edges: DataFrame, mentions: DataFrame, machines: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
-    """What foreign tokens of names and of areas stand for, by the mentions whose machine is clear without them.
-
-    A token is learned for a word if it stands in clear mentions of ``TAUGHT`` machines
-    at least, and ``AGREED`` of all its clear mentions are of machines that have the
-    word while the mention itself doesn't say it.
-    """
-    rank = Window.partitionBy("source_ref", "mention").orderBy(F.desc("own"), "normalized_tag")
-    clear = edges.withColumn("_n", F.row_number().over(rank)).withColumn("_next", F.lead("own").over(rank)).where(
-        (F.col("_n") == 1) & (F.coalesce(F.col("own") - F.col("_next"), F.lit(9.0)) >= 2 * MARGIN)
-    ).select("source_ref", "mention", "normalized_tag")
-    names = F.concat(F.transform("k_free", lambda x: x["w"]), F.col("k_typed"))
-    met = clear.join(mentions.select("source_ref", "mention", "exact", "foreign", "elsewhere"), ["source_ref", "mention"]).join(
-        machines.select("normalized_tag", names.alias("names"), F.array(F.col("k_part")).alias("parts")), "normalized_tag"
-    )
-
-    def taught(tokens: str, words: str) -> DataFrame:
-        unsaid = F.filter(words, lambda w: w.isNotNull() & ~F.array_contains("exact", w))
-        each = met.select("normalized_tag", F.explode(tokens).alias("token"), unsaid.alias("words"))
-        said = each.groupBy("token").agg(F.count("*").alias("all"))
-        pairs = each.select("normalized_tag", "token", F.explode("words").alias("word")).groupBy("token", "word").agg(F.count("*").alias("n"), F.countDistinct("normalized_tag").alias("machines"))
-        good = pairs.join(said, "token").where((F.col("machines") >= TAUGHT) & (F.col("n") >= AGREED * F.col("all")))
-        # of words that always come together the one that looks like the token
-        alike = (F.startswith("word", F.col("token")).cast("int"), (F.substring("word", 1, 1) == F.substring("token", 1, 1)).cast("int"))
-        return good.groupBy("token").agg(F.max_by("word", F.struct(alike[0].alias("a"), "n", "machines", alike[1].alias("b"), "word")).alias("word"))
-
-    both = taught("foreign", "names").withColumn("area", F.lit(False)).unionByName(taught("elsewhere", "parts").withColumn("area", F.lit(True)))
-    rows = _collect(both, "learned words")
-    return {r["token"]: r["word"] for r in rows if not r["area"]}, {r["token"]: r["word"] for r in rows if r["area"]}
-
-
 def link_cells(cells: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Each cell's machine: cell_id, normalized_tag, dataset_machine_id, confidence (0..1).
 
