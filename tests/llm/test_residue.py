@@ -178,3 +178,59 @@ def test_clean_corpus_keeps_other_rows_of_an_id(spark):
 def test_a_table_repeats_words_but_not_figures():
     table = "Casing axial {} watch\n"
     assert read_document("".join(table.format(i / 7) for i in range(20)))[1] is None and read_document(table.format(2) * 20)[1] == "padding"
+
+
+def report_tables(n, rows=16):
+    import random
+
+    rng = random.Random(5)
+    row = lambda: f"the {rng.choice(('casing', 'fan', 'base frame', 'free end', 'slow shaft', 'head pulley'))} {rng.choice(('axial', 'vertical', 'horizontal'))} # {rng.choice(('good', 'watch', 'alert', 'danger', 'stopped'))}"
+    return sorted({" ".join(row() for _ in range(rows)) for _ in range(n)})
+
+
+def pairs_checked(monkeypatch, classes):
+    """(how many pairs come to the check of words, components by class)."""
+    seen, check = [], residue.alike_pairs
+    monkeypatch.setattr(residue, "alike_pairs", lambda pairs, of: seen.append(pairs.count()) or check(pairs, of))
+    member = dict((r["class"], r["component"]) for r in residue.near_components(classes).collect())
+    return sum(seen), member
+
+
+def test_unlike_texts_of_the_same_phrases_are_no_candidates(spark, monkeypatch):
+    """Tables of the same phrases share shingles two by two; of these pairs only the alike are checked word by word."""
+    texts = report_tables(200)
+    texts += [t + " x" for t in texts[:5]]
+    checked, member = pairs_checked(monkeypatch, of_texts(spark, texts))
+    assert checked < len(texts)
+    assert [member[i] for i in range(len(texts))] == components_of(len(texts), alike_by_brute_force(texts))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_wanted_components_are_whole(spark, seed):
+    """Components that hold a wanted class are those of brute force, over links of links too."""
+    chain, texts = [f"c{i}" for i in range(80)], varied_texts(seed)
+    for k in range(6):
+        chain[10 * k] = f"d{k}"
+        texts.append(" ".join(chain))
+    classes = of_texts(spark, texts)
+    want = components_of(len(texts), alike_by_brute_force(texts))
+    wanted = {0, 17, len(texts) - 6}
+    got = dict((r["class"], r["component"]) for r in residue.near_components(classes, spark.createDataFrame([(i,) for i in wanted], "class long")).collect())
+    whole = {want[i] for i in wanted}
+    assert [got[i] for i in range(len(texts)) if want[i] in whole] == [c for c in want if c in whole]
+    assert want[-1] == want[-6]  # the chain is one component
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles(seed):
+    import numpy as np
+
+    texts = varied_texts(seed)
+    sets = [residue.shingles(t) for t in texts]
+    doc, s = residue.shingle_hashes(texts)
+    pairs = sorted(set(zip(doc.tolist(), s.tolist(), strict=True)))
+    words = residue.sketches(np.array([d for d, _ in pairs]), np.array([x for _, x in pairs], dtype=np.uint64), len(texts))
+    assert [len(x) for x in sets] == np.bincount([d for d, _ in pairs]).tolist()
+    for i in range(len(texts)):
+        for j in range(i):
+            assert sum(bin((int(x) ^ int(y)) & (2**64 - 1)).count("1") for x, y in zip(words[i], words[j], strict=True)) <= len(sets[i] ^ sets[j])

@@ -13,14 +13,18 @@ The hashes of two texts of Jaccard 0.8 differ in nine or ten of 64 bits on avera
 tables of near hashes alone lose most such links. Therefore a second pass joins on the
 rarest shingles of each core, where every pair of the similarity must meet, and looks
 only between components that the tables left apart. Together they give exactly the
-components of all pairs of Jaccard 0.8.
+components of all pairs of Jaccard 0.8. Only components with a labelled text come out,
+so the second pass starts at these and goes on from what it reaches.
 
 Scale: one narrow pass reads every whole text and keeps a core, a SimHash and flags;
 cores that can be residue at all (they hold a field, or less than two whole sentences
 of measured content) go on, once per class with a map-side combine. A table is the
 hashes in the order of a rotation, cut by their first bits; each hash meets its next
 neighbours only, so candidates grow in proportion to the classes, however alike they
-are. In the second pass a cluster of near copies is one component and makes no pairs.
+are. In the second pass a cluster of near copies is one component and makes no pairs,
+texts that no label can reach make none among themselves, and of the pairs that share
+a shingle only those go on to the check whose sketches differ in no more bits than
+the similarity allows for shingles.
 Links are stored, components and labels stay distributed.
 """
 
@@ -42,6 +46,8 @@ SIMILARITY = 0.8
 HAMMING = 6
 #: Tables (rotations of the hash by a byte each) and the neighbours that a hash meets in each.
 TABLES, NEIGHBOURS = 8, 4
+#: 64-bit words of a sketch.
+SKETCH = 4
 
 _ASK = (
     r"tbd|to ?do|fill in|insert(?:ar)?|enter|complete|por completar|completar|rellenar|à compl[ée]ter|compl[ée]ter|remplir|ins[ée]rer|saisir"
@@ -104,6 +110,9 @@ _SAMPLE = re.compile(r"texto? de (?:exemplo|ejemplo|prueba|teste)|sample text|du
 _WORD = re.compile(r"[^\W\d_]+", re.UNICODE)
 #: What a field may begin with; most texts have none of it.
 _MAY_MARK = re.compile(r"[{<«]|\$\{|%[A-Z]|#[A-Z]|@@|__|\[[A-Za-zà]|undefined|XX/XX|: (?:None|null|NaN)\b", re.I)
+#: Characters and, in lower case, words of which every such beginning has one, which is sooner seen.
+_MARK_CHARACTERS, _MARK_WORDS = "{<«$#@_[ıİſ", ("undefined", "xx/xx", ": none", ": null", ": nan")
+_PERCENT = re.compile(r"%[^\W\d_]")
 #: Lines of a stack dump.
 _TRACE = re.compile(r"^\s*(?:unhandled exception\b|traceback \(|caused by:|at [\w.$]+\(|file \"[^\"]+\", line \d|[\w.]+ = \w|\w*(?:error|exception): )", re.I)
 _HIDDEN = re.compile("[\u200b\u200c\u200d\u2060\ufeff\u00ad]")
@@ -118,6 +127,8 @@ _PROMPT_PARTS = ("aqu", "clic", "klick", "here", " ici", "hier ein")
 
 def tidy(text: str) -> str:
     """One form of equal characters, without hidden ones, and UTF-8 that was read as Latin read anew."""
+    if text.isascii():
+        return text
     if "Ã" in text or "Â" in text or "â€" in text:
         for encoding in ("cp1252", "latin-1"):
             try:
@@ -152,7 +163,7 @@ def is_padding(text: str) -> bool:
     words = [w.lower() for w in _WORD.findall(text)]
     if not words:
         return False
-    if _SAMPLE.search(text) and len(set(words)) <= 8:
+    if len(set(words)) <= 8 and _SAMPLE.search(text):
         return True
     if len(words) >= 4 and len(set(words)) == 1 or len(words) >= 6 and len(set(words)) <= max(2, len(words) // 12):
         return True
@@ -172,13 +183,17 @@ def read_document(text: str) -> tuple[str, str | None, bool]:
     """
     text = tidy(text)
     dump = is_dump(text)
-    marks = fields_of(text) if not dump and _MAY_MARK.search(text) else []
     low = text.lower()
+    may_mark = any(c in text for c in _MARK_CHARACTERS) or any(w in low for w in _MARK_WORDS) or bool(_PERCENT.search(text))
+    marks = fields_of(text) if may_mark and not dump and _MAY_MARK.search(text) else []
     asks = any(p in low for p in _PROMPT_PARTS) and bool(PROMPT.search(text))
     if not marks and not asks:
-        sentences = _SENTENCE_END.split(low)
-        if sum(1 for x in sentences if x.endswith((".", "!", "?")) and MEASURED.search(x)) > 1:
-            return "", None, False  # whole sentences of measured content: no message, no padding
+        measured = 0
+        for x in _SENTENCE_END.split(low):
+            if x.endswith((".", "!", "?")) and MEASURED.search(x):
+                measured += 1
+                if measured > 1:
+                    return "", None, False  # whole sentences of measured content: no message, no padding
     out, at = [], 0
     for m in marks:
         out.append(text[at : m.start()] + "□")
@@ -254,15 +269,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def simhashes(cores: list[str]) -> np.ndarray:
-    """64-bit SimHash of each core over its five-word shingles."""
+def shingle_hashes(cores: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(place of its core, 64-bit hash) of each five-word shingle of each core, in order and with repeats."""
     words, sizes = [], []
     for c in cores:
         w = c.split() or [""]
         words += w
         sizes.append(len(w))
     if not sizes:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = pd.util.hash_array(np.array(words, dtype=object), categorize=True)
     size = np.array(sizes)
     doc = np.repeat(np.arange(len(size)), size)
@@ -276,10 +291,17 @@ def simhashes(cores: list[str]) -> np.ndarray:
             mixed = mixed * np.uint64(0x100000001B3) + np.where(inside, rolled, np.uint64(0))
         mixed = _mix(mixed)
     starts = (place + SHINGLE <= np.repeat(size, size)) | (place == 0)
-    doc, mixed = doc[starts], mixed[starts]
+    return doc[starts], mixed[starts]
+
+
+def simhashes(cores: list[str]) -> np.ndarray:
+    """64-bit SimHash of each core over its five-word shingles."""
+    if not len(cores):
+        return np.zeros(0, np.int64)
+    doc, mixed = shingle_hashes(cores)
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     n = np.diff(np.r_[first, len(doc)])
-    out = np.zeros(len(size), np.uint64)
+    out = np.zeros(len(cores), np.uint64)
     for b in range(64):
         ones = np.add.reduceat(((mixed >> np.uint64(b)) & np.uint64(1)).astype(np.int64), first)
         out |= (2 * ones > n).astype(np.uint64) << np.uint64(b)
@@ -323,19 +345,38 @@ def table_pairs(classes: DataFrame) -> DataFrame:
     return met.select(F.least("class", "o.class").alias("a"), F.greatest("class", "o.class").alias("b")).distinct()
 
 
-def rare_keys(classes: DataFrame) -> DataFrame:
+def sketches(doc: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
+    """``SKETCH`` words for each of n cores, given its distinct shingles: each turns one bit, so two sketches differ in no more bits than the cores in shingles."""
+    bit = _mix(s ^ np.uint64(0x9E3779B97F4A7C15)) % np.uint64(64 * SKETCH)
+    out = np.zeros((n, SKETCH), np.uint64)
+    np.bitwise_xor.at(out, (doc, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return out.view(np.int64)
+
+
+def shingle_sets(classes: DataFrame) -> DataFrame:
+    """(class, s, sketch): the hashes of each class's distinct shingles, and their sketch."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            doc, s = shingle_hashes(list(b["core"]))
+            order = np.lexsort((s, doc))
+            doc, s = doc[order], s[order]
+            new = np.r_[True, (doc[1:] != doc[:-1]) | (s[1:] != s[:-1])][: len(s)]
+            doc, s = doc[new], s[new]
+            each = np.split(s.view(np.int64), np.cumsum(np.bincount(doc, minlength=len(b)))[:-1]) if len(b) else []
+            yield pd.DataFrame({"class": b["class"], "s": pd.Series(each, dtype=object, index=b.index), "sketch": pd.Series(list(sketches(doc, s, len(b))), dtype=object, index=b.index)})
+
+    return classes.select("class", "core").mapInPandas(sets, "class long, s array<long>, sketch array<long>")
+
+
+def rare_keys(sets: DataFrame) -> DataFrame:
     """(class, s, n, least): the rarest shingles of each class, of which two alike classes must share one.
 
     Of n shingles alike texts share SIMILARITY * n at least, so one of the
     n - SIMILARITY * n + 1 first in any order that holds for all; here the rarest first.
     Shingles of one class alone are no keys.
     """
-
-    @F.pandas_udf("array<long>")
-    def hashes(cores: pd.Series) -> pd.Series:
-        return cores.map(lambda c: np.unique(pd.util.hash_array(np.array([" ".join(s) for s in shingles(c)], dtype=object), categorize=False).view(np.int64)))
-
-    each = checkpoint(classes.select("class", hashes("core").alias("s")).select("class", F.size("s").alias("n"), F.explode("s").alias("s")))
+    each = sets.select("class", F.size("s").alias("n"), F.explode("s").alias("s"))
     often = each.groupBy("s").agg(F.count("*").alias("k"))
     least = F.ceil(F.lit(SIMILARITY) * F.col("n") - 1e-6)
     return (
@@ -346,18 +387,26 @@ def rare_keys(classes: DataFrame) -> DataFrame:
     )
 
 
-def rare_pairs(classes: DataFrame, member: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes of different components that share one of their rarest shingles and are of like size.
+def rare_pairs(keys: DataFrame, member: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of different components that can be alike by a rare shingle, their sizes and their sketches; a or b is in the front.
 
-    A key that only one component has makes no pairs.
+    ``member`` has (class, component, sketch, front). A key that only one component has,
+    or nothing in the front, makes no pairs. Alike sets of a and b shingles differ in
+    (a + b) * (1 - SIMILARITY) / (1 + SIMILARITY) of them at most.
     """
-    keyed = rare_keys(classes).join(member, "class")
-    several = keyed.groupBy("s").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo <> _hi").select("s")
-    keys = keyed.join(several, "s", "left_semi")
-    a, b = keys.alias("a"), keys.alias("b")
+    keyed = keys.join(member, "class")
+    several = keyed.groupBy("s").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.max("front").alias("_front")).where("_lo <> _hi and _front").select("s")
+    rows = keyed.join(several, "s", "left_semi").select("class", "component", "s", "n", "least", "front", *[F.col("sketch")[k].alias(f"w{k}") for k in range(SKETCH)])
+    a, b = rows.where("front").alias("a"), rows.alias("b")
     sizes = (F.col("a.n") >= F.col("b.least")) & (F.col("b.n") >= F.col("a.least"))
-    apart = (F.col("a.component") != F.col("b.component")) & (F.col("a.class") < F.col("b.class"))
-    return a.join(b, (F.col("a.s") == F.col("b.s")) & apart & sizes).select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+    apart = (F.col("a.component") != F.col("b.component")) & (~F.col("b.front") | (F.col("a.class") < F.col("b.class")))
+    differ = sum(F.bit_count(F.col(f"a.w{k}").bitwiseXOR(F.col(f"b.w{k}"))) for k in range(SKETCH))
+    near = differ <= F.floor((F.col("a.n") + F.col("b.n")) * (1 - SIMILARITY) / (1 + SIMILARITY) + 1e-6)
+    return (
+        a.join(b, (F.col("a.s") == F.col("b.s")) & apart & sizes & near)
+        .select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b"))
+        .distinct()
+    )
 
 
 def alike_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -380,12 +429,34 @@ def alike_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def near_components(classes: DataFrame) -> DataFrame:
-    """(class, component): the components of all pairs of classes of the similarity."""
+def near_components(classes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(class, component): the components of all pairs of classes of the similarity.
+
+    With ``wanted`` (class) only the components that hold one of these are sure to be
+    whole: pairs are sought from the components with a wanted class, then from those
+    that were reached, until no more are.
+    """
     tables = checkpoint(alike_pairs(table_pairs(classes), classes))
     first = components(classes, tables)
-    rest = checkpoint(alike_pairs(rare_pairs(classes, first), classes))
-    return first if rest.isEmpty() else components(classes, tables.unionByName(rest))
+    sets = checkpoint(shingle_sets(classes))
+    keys = checkpoint(rare_keys(sets))
+    rest = first.join(sets.select("class", "sketch"), "class")
+    front = first.select("component") if wanted is None else first.join(wanted, "class", "left_semi").select("component")
+    front = front.distinct().withColumn("front", F.lit(True))
+    links, several = tables, False
+    while True:
+        # what was in front before has met all of the rest
+        rest = checkpoint(rest.join(front, "component", "left").withColumn("front", F.coalesce("front", F.lit(False))))
+        found = checkpoint(alike_pairs(rare_pairs(keys, rest), classes))
+        if found.isEmpty():
+            break
+        links, several = links.unionByName(found), True
+        rest = rest.where("not front").drop("front")
+        ends = found.select(F.explode(F.array("a", "b")).alias("class"))
+        front = checkpoint(rest.join(ends, "class", "left_semi").select("component").distinct().withColumn("front", F.lit(True)))
+        if front.isEmpty():
+            break
+    return components(classes, links) if several else first
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -421,8 +492,8 @@ def residue_documents(documents: DataFrame) -> DataFrame:
     """
     read = checkpoint(read_documents(documents).withColumn("class", F.xxhash64("core")))  # every text is read once
     whole = F.max(F.when(F.col("label") != "field", F.col("label")))
-    classes = checkpoint(read.groupBy("class").agg(F.max("core").alias("core"), F.max("sim").alias("sim"), whole.alias("whole")))
-    member = near_components(classes)
+    classes = checkpoint(read.groupBy("class").agg(F.max("core").alias("core"), F.max("sim").alias("sim"), whole.alias("whole"), F.max("label").isNotNull().alias("labelled")))
+    member = near_components(classes, classes.where("labelled").select("class"))
     placed = classes.select("class", "whole").join(member, "class")
     trusted = placed.groupBy("component").agg(F.max("whole").alias("spread"))
     # the exact check: a field must stand in the document itself; a message or padding must be all there is
